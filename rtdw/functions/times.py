@@ -1,4 +1,7 @@
-"""Time expressions. Every conversion uses the session time zone."""
+"""Time expressions. Every conversion uses the session time zone.
+
+Arguments are SQL expressions, mostly plain column names.
+"""
 
 from __future__ import annotations
 
@@ -17,10 +20,7 @@ _UNIT_MS = {
     "hour": 3_600_000,
     "day": 86_400_000,
 }
-
-
-def _col(column: Column | str) -> Column:
-    return F.col(column) if isinstance(column, str) else column
+YEAR_MS = 365 * _UNIT_MS["day"]
 
 
 def duration_ms(text: str) -> int:
@@ -31,55 +31,51 @@ def duration_ms(text: str) -> int:
     return int(match[1]) * _UNIT_MS[match[2]]
 
 
-def millis_to_ts(millis: Column | str) -> Column:
-    return F.timestamp_millis(_col(millis))
+def millis_to_ts(millis: str) -> Column:
+    return F.expr(f"timestamp_millis({millis})")
 
 
-def millis_to_second(millis: Column | str) -> Column:
+def millis_to_second(millis: str) -> Column:
     """Event time cut to whole seconds."""
-    return F.date_trunc("second", millis_to_ts(millis))
+    return F.expr(f"date_trunc('second', timestamp_millis({millis}))")
 
 
-def millis_to_text(millis: Column | str) -> Column:
-    return F.date_format(millis_to_ts(millis), SECOND_FORMAT)
+def millis_to_text(millis: str) -> Column:
+    return F.expr(f"date_format(timestamp_millis({millis}), '{SECOND_FORMAT}')")
 
 
-def millis_to_day(millis: Column | str) -> Column:
-    return F.to_date(millis_to_ts(millis))
+def millis_to_day(millis: str) -> Column:
+    return F.expr(f"to_date(timestamp_millis({millis}))")
 
 
-def text_to_ts(text: Column | str) -> Column:
-    return F.to_timestamp(_col(text), SECOND_FORMAT)
+def text_to_ts(text: str) -> Column:
+    return F.expr(f"to_timestamp({text}, '{SECOND_FORMAT}')")
 
 
-def text_to_millis(text: Column | str) -> Column:
-    return F.unix_millis(text_to_ts(text))
+def text_to_millis(text: str) -> Column:
+    return F.expr(f"unix_millis(to_timestamp({text}, '{SECOND_FORMAT}'))")
 
 
-def ts_to_text(ts: Column | str) -> Column:
-    return F.date_format(_col(ts), SECOND_FORMAT)
+def ts_to_text(ts: str) -> Column:
+    return F.expr(f"date_format({ts}, '{SECOND_FORMAT}')")
 
 
-def day_number(ts: Column | str) -> Column:
+def day_number(ts: str) -> Column:
     """The day as an integer, yyyyMMdd."""
-    return F.date_format(_col(ts), "yyyyMMdd").cast("int")
+    return F.expr(f"cast(date_format({ts}, 'yyyyMMdd') as int)")
 
 
-def time_parts(create_time: Column | str) -> dict[str, Column]:
+def time_parts(create_time: str) -> dict[str, Column]:
     """Date text, hour text and epoch millis of a creation time."""
-    text = _col(create_time)
-    halves = F.split(text, " ")
     return {
-        "create_date": halves[0],
-        "create_hour": F.split(halves[1], ":")[0],
-        "create_ts": text_to_millis(text),
+        "create_date": F.expr(f"split({create_time}, ' ')[0]"),
+        "create_hour": F.expr(f"split(split({create_time}, ' ')[1], ':')[0]"),
+        "create_ts": text_to_millis(create_time),
     }
 
 
-def age_years(birthday: Column | str, as_of: Column | None = None) -> Column:
+def age_years(birthday: str, as_of: str | None = None) -> Column:
     """Whole 365-day years from a yyyy-MM-dd birthday to ``as_of`` (default now)."""
-    born = F.unix_millis(F.to_timestamp(_col(birthday), DAY_FORMAT))
-    now = F.unix_millis(as_of if as_of is not None else F.current_timestamp())
-    elapsed = now - born
-    year = 365 * _UNIT_MS["day"]
-    return ((elapsed - elapsed % year) / year).cast("int")
+    now = f"to_timestamp('{as_of}')" if as_of else "current_timestamp()"
+    born = f"to_timestamp({birthday}, '{DAY_FORMAT}')"
+    return F.expr(f"cast((unix_millis({now}) - unix_millis({born})) div {YEAR_MS} as int)")

@@ -59,7 +59,10 @@ def fold(changes: DataFrame, pk: str = "id", order: tuple[str, ...] = ("seq",))
 def typed_rows(changes: DataFrame, schema: T.StructType) -> DataFrame:
     """The ``after`` image as typed columns."""
     return changes.select(
-        *[F.col("after")[f.name].cast(f.dataType).alias(f.name) for f in schema]
+        *[
+            F.expr(f"cast(after['{f.name}'] as {f.dataType.simpleString()}) as {f.name}")
+            for f in schema
+        ]
     )
 
 

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from rtdw.functions.codes import APPRAISE_GOOD
-from rtdw.functions.times import text_to_millis
+from rtdw.functions.times import SECOND_FORMAT
 from rtdw.schemas import struct
 
 # Measures default to 0. The three ids mark which order a row counts for.
@@ -17,113 +17,95 @@ PRODUCT_EVENT = struct(
     order_id bigint, paid_order_id bigint, refund_order_id bigint, ts bigint
     """
 )
-VISITOR_EVENT = struct(
-    """
-    vc string, ch string, ar string, is_new string, uv_ct bigint, pv_ct bigint, sv_ct bigint,
-    uj_ct bigint, dur_sum bigint, ts bigint
-    """
-)
 NO_DEFAULT = ("sku_id", "order_id", "paid_order_id", "refund_order_id", "ts")
+VISITOR_KEYS = ("vc", "ch", "ar", "is_new")
+VISITOR_COUNTS = ("uv_ct", "pv_ct", "sv_ct", "uj_ct", "dur_sum")
 
 # How a page tells a product click and a product display.
 DETAIL_PAGE = "good_detail"
 SKU_ITEM = "sku_id"
 
+CREATED = f"unix_millis(to_timestamp(create_time, '{SECOND_FORMAT}'))"
 
-def count_if(condition: Column) -> Column:
-    """1 or 0, to be summed."""
-    return F.when(condition, 1).otherwise(0)
 
+def product_event(df: DataFrame, **given: str) -> DataFrame:
+    """Rows in the unified product shape, from SQL expressions.
 
-def product_event(df: DataFrame, **given: Column | int) -> DataFrame:
-    """Rows in the unified product shape; a missing measure is 0, a missing id null."""
+    A measure not given, or null, is 0; an id not given is null.
+    """
     columns = []
     for f in PRODUCT_EVENT:
-        value = given.get(f.name)
-        value = value if isinstance(value, Column) else F.lit(value)
-        value = value.cast(f.dataType)
+        kind = f.dataType.simpleString()
+        value = f"cast({given.get(f.name, 'null')} as {kind})"
         if f.name not in NO_DEFAULT:
-            value = F.coalesce(value, F.lit(0).cast(f.dataType))
-        columns.append(value.alias(f.name))
-    return df.select(*columns)
+            zero = f"cast(0 as {kind})"
+            value = f"coalesce({value}, {zero})" if f.name in given else zero
+        columns.append(f"{value} as {f.name}")
+    return df.selectExpr(*columns)
 
 
 def clicks_and_displays(pages: DataFrame) -> DataFrame:
     """A click per product detail page and a display per shown product, in one pass."""
-    hit = F.struct(
-        F.col("page.item").alias("item"), F.lit(1).alias("click"), F.lit(0).alias("display")
-    )
-    is_click = (F.col("page.page_id") == DETAIL_PAGE) & (F.col("page.item_type") == SKU_ITEM)
-    shown = F.transform(
-        F.filter(
-            F.coalesce("displays", F.expr("cast(array() as array<struct<item string, item_type string>>)")),
-            lambda d: d["item_type"] == SKU_ITEM,
-        ),
-        lambda d: F.struct(
-            d["item"].alias("item"), F.lit(0).alias("click"), F.lit(1).alias("display")
-        ),
-    )
-    both = F.when(is_click, F.concat(F.array(hit), shown)).otherwise(shown)
-    rows = pages.select("ts", F.inline(both))
-    return product_event(
-        rows,
-        sku_id=F.col("item"),
-        click_ct=F.col("click"),
-        display_ct=F.col("display"),
-        ts=F.col("ts"),
-    )
+    shown = f"""
+        transform(
+          filter(coalesce(displays, array()), d -> d.item_type = '{SKU_ITEM}'),
+          d -> struct(d.item as item, 0 as click, 1 as display))
+        """
+    hits = f"""
+        case when page.page_id = '{DETAIL_PAGE}' and page.item_type = '{SKU_ITEM}'
+             then concat(array(struct(page.item as item, 1 as click, 0 as display)), {shown})
+             else {shown} end
+        """
+    rows = pages.selectExpr("ts", f"inline({hits})")
+    return product_event(rows, sku_id="item", click_ct="click", display_ct="display", ts="ts")
 
 
 def favors(favor_info: DataFrame) -> DataFrame:
-    return product_event(
-        favor_info, sku_id=F.col("sku_id"), favor_ct=1, ts=text_to_millis("create_time")
-    )
+    return product_event(favor_info, sku_id="sku_id", favor_ct="1", ts=CREATED)
 
 
 def carts(cart_info: DataFrame) -> DataFrame:
-    return product_event(
-        cart_info, sku_id=F.col("sku_id"), cart_ct=1, ts=text_to_millis("create_time")
-    )
+    return product_event(cart_info, sku_id="sku_id", cart_ct="1", ts=CREATED)
 
 
 def orders(order_wide: DataFrame) -> DataFrame:
     return product_event(
         order_wide,
-        sku_id=F.col("sku_id"),
-        order_id=F.col("order_id"),
-        order_sku_num=F.col("sku_num"),
-        order_amount=F.col("split_total_amount"),
-        ts=text_to_millis("create_time"),
+        sku_id="sku_id",
+        order_id="order_id",
+        order_sku_num="sku_num",
+        order_amount="split_total_amount",
+        ts=CREATED,
     )
 
 
 def paid(payment_wide: DataFrame) -> DataFrame:
     return product_event(
         payment_wide,
-        sku_id=F.col("sku_id"),
-        paid_order_id=F.col("order_id"),
-        payment_amount=F.col("split_total_amount"),
-        ts=text_to_millis("payment_create_time"),
+        sku_id="sku_id",
+        paid_order_id="order_id",
+        payment_amount="split_total_amount",
+        ts=CREATED.replace("create_time", "payment_create_time"),
     )
 
 
 def refunds(refund_info: DataFrame) -> DataFrame:
     return product_event(
         refund_info,
-        sku_id=F.col("sku_id"),
-        refund_order_id=F.col("order_id"),
-        refund_amount=F.col("refund_amount"),
-        ts=text_to_millis("create_time"),
+        sku_id="sku_id",
+        refund_order_id="order_id",
+        refund_amount="refund_amount",
+        ts=CREATED,
     )
 
 
 def comments(comment_info: DataFrame) -> DataFrame:
     return product_event(
         comment_info,
-        sku_id=F.col("sku_id"),
-        comment_ct=1,
-        good_comment_ct=count_if(F.col("appraise") == APPRAISE_GOOD),
-        ts=text_to_millis("create_time"),
+        sku_id="sku_id",
+        comment_ct="1",
+        good_comment_ct=f"if(appraise = '{APPRAISE_GOOD}', 1, 0)",
+        ts=CREATED,
     )
 
 
@@ -148,24 +130,25 @@ def product_events(
     )
 
 
-def visitor_event(df: DataFrame, **given: Column | int) -> DataFrame:
-    columns = [
-        F.col(f"common.{name}").cast("string").alias(name) for name in ("vc", "ch", "ar", "is_new")
-    ]
-    for name in ("uv_ct", "pv_ct", "sv_ct", "uj_ct", "dur_sum"):
-        value = given.get(name, 0)
-        value = value if isinstance(value, Column) else F.lit(value)
-        columns.append(F.coalesce(value, F.lit(0)).cast("bigint").alias(name))
-    return df.select(*columns, F.col("ts").cast("bigint").alias("ts"))
+def visitor_event(df: DataFrame, **given: str) -> DataFrame:
+    """Rows in the unified visitor shape; counts not given are 0."""
+    return df.selectExpr(
+        *[f"common.{key} as {key}" for key in VISITOR_KEYS],
+        *[
+            f"cast(coalesce({given.get(name, '0')}, 0) as bigint) as {name}"
+            for name in VISITOR_COUNTS
+        ],
+        "ts",
+    )
 
 
 def page_views(pages: DataFrame) -> DataFrame:
     """A page view each; an entry page also starts a session."""
     return visitor_event(
         pages,
-        pv_ct=1,
-        sv_ct=count_if(F.col("page.last_page_id").isNull()),
-        dur_sum=F.col("page.during_time"),
+        pv_ct="1",
+        sv_ct="if(page.last_page_id is null, 1, 0)",
+        dur_sum="page.during_time",
     )
 
 
@@ -173,6 +156,6 @@ def visitor_events(pages: DataFrame, visits: DataFrame, bounced: DataFrame) -> D
     """Page views, unique visits and bounces, union all."""
     return (
         page_views(pages)
-        .unionByName(visitor_event(visits, uv_ct=1))
-        .unionByName(visitor_event(bounced, uj_ct=1))
+        .unionByName(visitor_event(visits, uv_ct="1"))
+        .unionByName(visitor_event(bounced, uj_ct="1"))
     )

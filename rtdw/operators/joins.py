@@ -9,15 +9,14 @@ partitions AQE splits.
 from __future__ import annotations
 
 from collections.abc import Mapping
-from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rtdw.functions.times import duration_ms
 
 
-def _interval(ms: int) -> Column:
-    return F.lit(timedelta(milliseconds=ms))
+def _interval(ms: int) -> str:
+    return f"INTERVAL '{ms / 1000:.3f}' SECOND"
 
 
 def interval_join(
@@ -45,25 +44,23 @@ def interval_join(
     low, high = duration_ms(lower), duration_ms(upper)
     if low > high:
         raise ValueError("lower bound above upper bound")
-    lt, rt = F.col(f"l.{left_time}"), F.col(f"r.{right_time}")
-    within = (rt >= lt + _interval(low)) & (rt <= lt + _interval(high))
-    same_key = F.col(f"l.{left_key}") == F.col(f"r.{right_key}")
+    match = (
+        f"l.{left_key} = r.{right_key}"
+        f" and r.{right_time} >= l.{left_time} + {_interval(low)}"
+        f" and r.{right_time} <= l.{left_time} + {_interval(high)}"
+    )
     if left.isStreaming or right.isStreaming:
-        return left.alias("l").join(right.alias("r"), same_key & within, "inner")
+        return left.alias("l").join(right.alias("r"), F.expr(match), "inner")
 
     length = duration_ms(slice_length) if slice_length else max(16 * (high - low), 1)
-
-    def slice_of(ms: Column) -> Column:
-        return F.floor(ms / length)
-
-    left_ms = F.unix_millis(F.col(left_time))
-    sliced_left = left.withColumn(
-        "__slice", F.explode(F.sequence(slice_of(left_ms + low), slice_of(left_ms + high)))
+    first = f"floor((unix_millis({left_time}) + ({low})) / {length})"
+    last = f"floor((unix_millis({left_time}) + ({high})) / {length})"
+    sliced_left = left.selectExpr("*", f"explode(sequence({first}, {last})) as __slice")
+    sliced_right = right.selectExpr(
+        "*", f"floor(unix_millis({right_time}) / {length}) as __slice"
     )
-    sliced_right = right.withColumn("__slice", slice_of(F.unix_millis(F.col(right_time))))
-    same_slice = F.col("l.__slice") == F.col("r.__slice")
     return sliced_left.alias("l").join(
-        sliced_right.alias("r"), same_key & same_slice & within, "inner"
+        sliced_right.alias("r"), F.expr(f"{match} and l.__slice = r.__slice"), "inner"
     )
 
 
@@ -81,20 +78,18 @@ def enrich(
     (the default) a fact without its dimension row is left out, with ``left`` it
     keeps nulls. ``dim_key`` is the dimension's primary key.
     """
-    key_type = facts.schema[key].dataType
+    key_type = facts.schema[key].dataType.simpleString()
     looked_up = dim.select(
-        F.col(dim_key).cast(key_type).alias("__dim_key"),
+        F.expr(f"cast({dim_key} as {key_type}) as __dim_key"),
         *[
-            (F.col(c) if isinstance(c, str) else c).alias(f"__dim_{name}")
+            F.expr(f"{c} as __dim_{name}") if isinstance(c, str) else c.alias(f"__dim_{name}")
             for name, c in columns.items()
         ],
     )
-    joined = facts.join(looked_up, F.col(key) == F.col("__dim_key"), how)
-    kept = [
-        F.col(f"__dim_{c}").alias(c) if c in columns else F.col(c) for c in facts.columns
-    ]
-    added = [F.col(f"__dim_{n}").alias(n) for n in columns if n not in facts.columns]
-    return joined.select(*kept, *added)
+    joined = facts.join(looked_up, F.expr(f"{key} = __dim_key"), how)
+    kept = [f"__dim_{c} as {c}" if c in columns else c for c in facts.columns]
+    added = [f"__dim_{n} as {n}" for n in columns if n not in facts.columns]
+    return joined.selectExpr(*kept, *added)
 
 
 def lookup(dim: DataFrame, keys: DataFrame, key: str, dim_key: str = "id") -> DataFrame:

@@ -14,9 +14,8 @@ DIM_SINK = "hbase"
 
 def config_rows(changes: DataFrame) -> DataFrame:
     """Config changes as typed rows with ``seq``; a delete has no row to offer."""
-    return changes.where(F.size("after") > 0).select(
-        *[F.col("after")[f.name].cast(f.dataType).alias(f.name) for f in TABLE_PROCESS],
-        "seq",
+    return changes.where("size(after) > 0").selectExpr(
+        *[f"after['{f.name}'] as {f.name}" for f in TABLE_PROCESS], "seq"
     )
 
 

@@ -36,7 +36,7 @@ def unique_visits(
     w = Window.partitionBy(F.col(mid), F.col("__day")).orderBy(F.col(ts), *tiebreak)
     return (
         pages.where(visit_condition(visits, last_page))
-        .withColumn("__day", millis_to_day(F.col(ts)))
+        .withColumn("__day", millis_to_day(ts))
         .withColumn("__rank", F.row_number().over(w))
         .where("__rank = 1")
         .drop("__rank", "__day")

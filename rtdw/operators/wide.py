@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import types as T
 
 from rtdw.functions.times import age_years, text_to_ts, time_parts
 from rtdw.operators.joins import enrich, interval_join
@@ -32,6 +33,16 @@ MERGED = (
 )
 
 
+def as_record(df: DataFrame, schema: T.StructType, source: Mapping[str, str]) -> DataFrame:
+    """The columns of a record type from SQL expressions; those without one are null."""
+    return df.selectExpr(
+        *[
+            f"cast({source.get(f.name, 'null')} as {f.dataType.simpleString()}) as {f.name}"
+            for f in schema
+        ]
+    )
+
+
 def order_times(orders: DataFrame, create_time: str = "create_time") -> DataFrame:
     """Add create_date, create_hour and create_ts."""
     return orders.withColumns(time_parts(create_time))
@@ -56,21 +67,16 @@ def order_wide(
         right = right.withWatermark("__time", lateness)
     joined = interval_join(left, right, "id", "order_id", "__time", "__time", lower, upper)
     source = {
-        "detail_id": F.col("r.id"),
-        "order_id": F.col("l.id"),
-        **{c: F.col(f"l.{c}") for c in FROM_ORDER},
-        **{c: F.col(f"r.{c}") for c in FROM_DETAIL},
+        "detail_id": "r.id",
+        "order_id": "l.id",
+        **{c: f"l.{c}" for c in FROM_ORDER},
+        **{c: f"r.{c}" for c in FROM_DETAIL},
     }
-    return joined.select(
-        *[
-            (source[f.name] if f.name in source else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in ORDER_WIDE
-        ]
-    )
+    return as_record(joined, ORDER_WIDE, source)
 
 
 def add_dimensions(
-    wide: DataFrame, dims: Mapping[str, DataFrame], as_of: Column | None = None, how: str = "inner"
+    wide: DataFrame, dims: Mapping[str, DataFrame], as_of: str | None = None, how: str = "inner"
 ) -> DataFrame:
     """Fill the dimension columns of an order wide table.
 
@@ -112,13 +118,13 @@ def payment_wide(
         left, right, "order_id", "order_id", "__time", "__time", lower, upper
     )
     source = {
-        **{c: F.col(f"r.{c}") for c in orders_wide.columns},
-        **{c: F.col(f"l.{c}") for c in FROM_PAYMENT},
-        "payment_id": F.col("l.id"),
-        "payment_create_time": F.col("l.create_time"),
-        "order_create_time": F.col("r.create_time"),
+        **{c: f"r.{c}" for c in orders_wide.columns},
+        **{c: f"l.{c}" for c in FROM_PAYMENT},
+        "payment_id": "l.id",
+        "payment_create_time": "l.create_time",
+        "order_create_time": "r.create_time",
     }
-    return joined.select(*[source[f.name].cast(f.dataType).alias(f.name) for f in PAYMENT_WIDE])
+    return as_record(joined, PAYMENT_WIDE, source)
 
 
 def merge_wide(this: DataFrame, other: DataFrame, key: str = "detail_id") -> DataFrame:
@@ -128,22 +134,20 @@ def merge_wide(this: DataFrame, other: DataFrame, key: str = "detail_id") -> Dat
     split amounts, which the merge rule takes from one side only.
     """
     a, b = this.alias("a"), other.alias("b")
-    merged = {
-        c: F.coalesce(F.col(f"a.{c}"), F.col(f"b.{c}")) for c in MERGED if c in other.columns
-    }
-    return a.join(b, F.col(f"a.{key}") == F.col(f"b.{key}"), "left").select(
-        *[merged.get(c, F.col(f"a.{c}")).alias(c) for c in this.columns]
+    merged = {c: f"coalesce(a.{c}, b.{c})" for c in MERGED if c in other.columns}
+    return a.join(b, F.expr(f"a.{key} = b.{key}"), "left").selectExpr(
+        *[f"{merged.get(c, f'a.{c}')} as {c}" for c in this.columns]
     )
 
 
 def province_row(wide: DataFrame) -> DataFrame:
     """Each order wide row as a province record of its own, counting one order."""
-    return wide.select(
+    return wide.selectExpr(
         "province_id",
         "province_name",
         "province_area_code",
         "province_iso_code",
         "province_3166_2_code",
-        F.col("split_total_amount").alias("order_amount"),
-        F.lit(1).cast("bigint").alias("order_count"),
+        "split_total_amount as order_amount",
+        "cast(1 as bigint) as order_count",
     )

@@ -29,10 +29,6 @@ def query(function: Query) -> Query:
     return run
 
 
-def as_of():
-    return F.lit(standin.AS_OF).cast("timestamp")
-
-
 # Shared inputs
 
 
@@ -92,9 +88,7 @@ def _user_changes(spark, d):
 
 @query
 def scan_page_view(spark, d):
-    lines = standin.log_records(table(spark, d, "events")).select(
-        F.to_json(F.struct("common", "page", "displays", "start", "ts")).alias("value")
-    )
+    lines = standin.log_records(table(spark, d, "events")).selectExpr(standin.RECORD_TEXT)
     return parse.page_view(lines).select(
         F.col("common")["mid"].alias("mid"),
         F.col("page")["page_id"].alias("page_id"),
@@ -222,7 +216,7 @@ def payment_wide(spark, d):
 @query
 def order_wide_dims(spark, d):
     dims = standin.dimensions(spark, d)
-    return wide.add_dimensions(_order_wide(spark, d), dims, as_of()).select(
+    return wide.add_dimensions(_order_wide(spark, d), dims, standin.AS_OF).select(
         "detail_id", "order_id", "sku_id", "sku_name", "user_id", "user_age", "user_gender",
         "province_id", "province_name", "province_area_code", "province_iso_code",
         "province_3166_2_code", "spu_id", "spu_name", "tm_id", "tm_name", "category3_id",
@@ -233,7 +227,7 @@ def order_wide_dims(spark, d):
 @query
 def order_wide_dims_left(spark, d):
     dims = standin.dimensions(spark, d)
-    return wide.add_dimensions(_order_wide(spark, d), dims, as_of(), how="left").select(
+    return wide.add_dimensions(_order_wide(spark, d), dims, standin.AS_OF, how="left").select(
         "detail_id", "order_id", "sku_id", "sku_name", "user_age", "province_name", "spu_id",
         "spu_name", "tm_name", "category3_name",
     )
@@ -273,7 +267,7 @@ def order_time_parts(spark, d):
 @query
 def user_age(spark, d):
     users = standin.dim_user(table(spark, d, "customer"))
-    return users.select("id", "birthday", times.age_years("birthday", as_of()).alias("user_age"))
+    return users.select("id", "birthday", times.age_years("birthday", standin.AS_OF).alias("user_age"))
 
 
 # Statistics

@@ -9,10 +9,12 @@ would keep.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from rtdw.functions.times import ts_to_text
-from rtdw.schemas import ORDER_DETAIL, ORDER_INFO, PAYMENT_INFO
+from rtdw.functions.times import SECOND_FORMAT
+from rtdw.operators.wide import as_record
+from rtdw.schemas import ORDER_DETAIL, ORDER_INFO, PAYMENT_INFO, struct
+from rtdw.sources.rows import literal_table
 
 # Parameters of the sample runs: events are hours apart and ship dates months
 # from their orders, so windows and intervals are wider than the shop's.
@@ -28,20 +30,36 @@ FIRST_DOCUMENT_MS = 1_704_067_200_000
 # Category numbers by their place in this list, from 1.
 PART_TYPES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
 
+# The sample tables' columns: with these a read needs no look at the files.
+TABLES = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+    "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, "
+    "o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+    "value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(struct(TABLES[name])).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def money(column: Column | str) -> Column:
-    return (F.col(column) if isinstance(column, str) else column).cast("decimal(16,2)")
+def _second(ts: str) -> str:
+    return f"date_format({ts}, '{SECOND_FORMAT}')"
 
 
-def typed(df: DataFrame, schema, **given: Column) -> DataFrame:
-    """The columns of a record type; those not given are null."""
-    return df.select(
-        *[given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in schema]
-    )
+def money(value: str) -> str:
+    return f"cast({value} as decimal(16,2))"
 
 
 # Behaviour log
@@ -49,90 +67,71 @@ def typed(df: DataFrame, schema, **given: Column) -> DataFrame:
 
 def events(source: DataFrame) -> DataFrame:
     """Events with an instant and the number in ``props``."""
-    return source.withColumn("ts", F.col("ts").cast("timestamp")).withColumn(
-        "k", F.get_json_object("props", "$.k").cast("bigint")
+    return source.selectExpr(
+        "event_id",
+        "cast(ts as timestamp) as ts",
+        "user_id",
+        "event_type",
+        "value",
+        "cast(get_json_object(props, '$.k') as bigint) as k",
     )
 
 
 def log_records(source: DataFrame) -> DataFrame:
     """Every event as a log record. Sign-ups are start logs, views are entry pages."""
-    kind = F.col("event_type")
-    item = F.col("k").cast("string")
-
-    def shown(number: Column, item_type: str) -> Column:
-        return F.struct(
-            number.cast("string").alias("item"), F.lit(item_type).alias("item_type")
-        )
-
-    none = F.expr("cast(array() as array<struct<item string, item_type string>>)")
-    return events(source).select(
+    return events(source).selectExpr(
         "event_id",
-        F.struct(
-            F.col("user_id").cast("string").alias("mid"),
-            F.when(kind.isin("signup", "view"), "1").otherwise("0").alias("is_new"),
-            F.when(F.col("k") < 50, "v1").otherwise("v2").alias("vc"),
-            F.when(F.col("value") >= 20, "web").otherwise("app").alias("ch"),
-            F.floor(F.col("k") / 20).cast("string").alias("ar"),
-        ).alias("common"),
-        F.when(
-            kind != "signup",
-            F.struct(
-                F.when(kind == "view", "home")
-                .when(kind == "click", "good_detail")
-                .when(kind == "purchase", "trade")
-                .otherwise("good_list")
-                .alias("page_id"),
-                F.when(kind != "view", "home").alias("last_page_id"),
-                F.when(kind.isin("click", "purchase"), item).alias("item"),
-                F.when(kind == "click", "sku_id")
-                .when(kind == "purchase", "sku_ids")
-                .alias("item_type"),
-                F.round(F.col("value") * 1000).cast("bigint").alias("during_time"),
-            ),
-        ).alias("page"),
-        F.when(
-            kind == "view",
-            F.array(
-                shown(F.col("k"), "sku_id"),
-                shown(F.col("k") + 1, "sku_id"),
-                shown(F.col("k"), "activity_id"),
-            ),
-        )
-        .when(kind == "error", none)
-        .alias("displays"),
-        F.when(kind == "signup", F.struct(F.lit("icon").alias("entry"))).alias("start"),
-        F.unix_millis("ts").alias("ts"),
+        """named_struct(
+             'mid', cast(user_id as string),
+             'is_new', if(event_type in ('signup', 'view'), '1', '0'),
+             'vc', if(k < 50, 'v1', 'v2'),
+             'ch', if(value >= 20, 'web', 'app'),
+             'ar', cast(k div 20 as string)) as common""",
+        """case when event_type <> 'signup' then named_struct(
+             'page_id', case event_type when 'view' then 'home' when 'click' then 'good_detail'
+                        when 'purchase' then 'trade' else 'good_list' end,
+             'last_page_id', case when event_type <> 'view' then 'home' end,
+             'item', case when event_type in ('click', 'purchase') then cast(k as string) end,
+             'item_type', case event_type when 'click' then 'sku_id'
+                          when 'purchase' then 'sku_ids' end,
+             'during_time', cast(round(value * 1000) as bigint)) end as page""",
+        """case event_type
+             when 'view' then array(
+               named_struct('item', cast(k as string), 'item_type', 'sku_id'),
+               named_struct('item', cast(k + 1 as string), 'item_type', 'sku_id'),
+               named_struct('item', cast(k as string), 'item_type', 'activity_id'))
+             when 'error' then array() end as displays""",
+        "case when event_type = 'signup' then named_struct('entry', 'icon') end as start",
+        "unix_millis(ts) as ts",
     )
 
 
 def page_log(source: DataFrame) -> DataFrame:
     """The page branch of the log, typed."""
-    return log_records(source).where(F.col("page").isNotNull()).drop("start")
+    pages = source.where("event_type <> 'signup'")
+    return log_records(pages).drop("start")
+
+
+RECORD_TEXT = "to_json(struct(common, page, displays, start, ts)) as value"
 
 
 def raw_log(source: DataFrame, conversations: DataFrame) -> DataFrame:
     """Log lines as text; conversation turns are the lines that are not records."""
-    record = F.to_json(F.struct("common", "page", "displays", "start", "ts"))
-    lines = log_records(source).select(record.alias("value"))
-    return lines.unionByName(conversations.select(F.col("text").alias("value")))
+    lines = log_records(source).selectExpr(RECORD_TEXT)
+    return lines.unionByName(conversations.selectExpr("text as value"))
 
 
 def search_pages(documents: DataFrame, source: DataFrame) -> DataFrame:
     """Pages for the keyword job: each document is a searched text, events are other pages."""
-    searched = documents.select(
-        F.create_map(
-            F.lit("item_type"), F.lit("keyword"), F.lit("item"), F.col("text")
-        ).alias("page"),
-        (F.col("doc_id") * 60_000 + FIRST_DOCUMENT_MS).alias("ts"),
+    searched = documents.selectExpr(
+        "map('item_type', 'keyword', 'item', text) as page",
+        f"doc_id * 60000 + {FIRST_DOCUMENT_MS} as ts",
     )
-    others = page_log(source).select(
-        F.create_map(
-            F.lit("item_type"), F.col("page.item_type"), F.lit("item"), F.col("page.item")
-        ).alias("page"),
-        "ts",
+    others = page_log(source).selectExpr(
+        "map('item_type', page.item_type, 'item', page.item) as page", "ts"
     )
-    return searched.unionByName(others).withColumn(
-        "rt", F.date_trunc("second", F.timestamp_millis("ts"))
+    return searched.unionByName(others).selectExpr(
+        "page", "ts", "date_trunc('second', timestamp_millis(ts)) as rt"
     )
 
 
@@ -141,68 +140,65 @@ def search_pages(documents: DataFrame, source: DataFrame) -> DataFrame:
 
 def order_info(orders: DataFrame, customer: DataFrame) -> DataFrame:
     """Orders; the province is the customer's nation."""
-    status = (
-        F.when(F.col("o_orderstatus") == "O", "1001")
-        .when(F.col("o_orderstatus") == "P", "1002")
-        .otherwise("1004")
-    )
-    home = customer.select("c_custkey", "c_nationkey")
-    return typed(
-        orders.join(home, F.col("o_custkey") == F.col("c_custkey"), "inner"),
+    home = customer.selectExpr("c_custkey as o_custkey", "c_nationkey")
+    return as_record(
+        orders.join(home, "o_custkey"),
         ORDER_INFO,
-        id=F.col("o_orderkey"),
-        province_id=F.col("c_nationkey"),
-        order_status=status,
-        user_id=F.col("o_custkey"),
-        total_amount=money("o_totalprice"),
-        activity_reduce_amount=F.lit(0),
-        original_total_amount=money("o_totalprice"),
-        create_time=ts_to_text("o_orderdate"),
+        {
+            "id": "o_orderkey",
+            "province_id": "c_nationkey",
+            "order_status": "case o_orderstatus when 'O' then '1001' when 'P' then '1002' "
+            "else '1004' end",
+            "user_id": "o_custkey",
+            "total_amount": money("o_totalprice"),
+            "activity_reduce_amount": "0",
+            "original_total_amount": money("o_totalprice"),
+            "create_time": _second("o_orderdate"),
+        },
     )
 
 
 def order_detail(lineitem: DataFrame) -> DataFrame:
-    price, rate = money("l_extendedprice"), F.col("l_discount").cast("decimal(4,2)")
-    return typed(
+    price = money("l_extendedprice")
+    off = money(f"{price} * cast(l_discount as decimal(4,2))")
+    return as_record(
         lineitem,
         ORDER_DETAIL,
-        id=F.col("l_orderkey") * 8 + F.col("l_linenumber"),
-        order_id=F.col("l_orderkey"),
-        sku_id=F.col("l_partkey"),
-        order_price=price,
-        sku_num=F.col("l_quantity"),
-        create_time=ts_to_text("l_shipdate"),
-        split_total_amount=price - money(price * rate),
-        split_coupon_amount=money(price * rate),
+        {
+            "id": "l_orderkey * 8 + l_linenumber",
+            "order_id": "l_orderkey",
+            "sku_id": "l_partkey",
+            "order_price": price,
+            "sku_num": "l_quantity",
+            "create_time": _second("l_shipdate"),
+            "split_total_amount": f"{price} - {off}",
+            "split_coupon_amount": off,
+        },
     )
 
 
 def payment_info(orders: DataFrame) -> DataFrame:
     """Orders that are not open; the dearer the order, the later its payment."""
-    delay = F.make_dt_interval(secs=F.floor(F.col("o_totalprice") / 300).cast("decimal(18,6)"))
-    paid = orders.where(F.col("o_orderstatus") != "O")
-    return typed(
-        paid,
+    later = "make_dt_interval(0, 0, 0, cast(floor(o_totalprice / 300) as decimal(18,6)))"
+    return as_record(
+        orders.where("o_orderstatus <> 'O'"),
         PAYMENT_INFO,
-        id=F.col("o_orderkey"),
-        order_id=F.col("o_orderkey"),
-        user_id=F.col("o_custkey"),
-        total_amount=money("o_totalprice"),
-        subject=F.col("o_orderpriority"),
-        payment_type=F.when(F.col("o_totalprice") < 100_000, "1101")
-        .when(F.col("o_totalprice") < 300_000, "1102")
-        .otherwise("1103"),
-        create_time=ts_to_text(F.col("o_orderdate").cast("timestamp") + delay),
+        {
+            "id": "o_orderkey",
+            "order_id": "o_orderkey",
+            "user_id": "o_custkey",
+            "total_amount": money("o_totalprice"),
+            "subject": "o_orderpriority",
+            "payment_type": "case when o_totalprice < 100000 then '1101' "
+            "when o_totalprice < 300000 then '1102' else '1103' end",
+            "create_time": _second(f"cast(o_orderdate as timestamp) + {later}"),
+        },
     )
 
 
-def _small_fact(source: DataFrame, event_type: str, **more: Column) -> DataFrame:
-    rows = events(source.where(F.col("event_type") == event_type))
-    return rows.select(
-        F.col("k").alias("sku_id"),
-        *[c.alias(name) for name, c in more.items()],
-        ts_to_text("ts").alias("create_time"),
-    )
+def _small_fact(source: DataFrame, event_type: str, *more: str) -> DataFrame:
+    rows = events(source.where(f"event_type = '{event_type}'"))
+    return rows.selectExpr("k as sku_id", *more, f"{_second('ts')} as create_time")
 
 
 def favor_info(source: DataFrame) -> DataFrame:
@@ -214,16 +210,15 @@ def cart_info(source: DataFrame) -> DataFrame:
 
 
 def comment_info(source: DataFrame) -> DataFrame:
-    good = F.when(F.col("value") >= 20, "1201").otherwise("1203")
-    return _small_fact(source, "error", appraise=good)
+    return _small_fact(source, "error", "if(value >= 20, '1201', '1203') as appraise")
 
 
 def refund_info(lineitem: DataFrame) -> DataFrame:
-    return lineitem.where(F.col("l_returnflag") == "R").select(
-        F.col("l_orderkey").alias("order_id"),
-        F.col("l_partkey").alias("sku_id"),
-        money("l_extendedprice").alias("refund_amount"),
-        ts_to_text("l_shipdate").alias("create_time"),
+    return lineitem.where("l_returnflag = 'R'").selectExpr(
+        "l_orderkey as order_id",
+        "l_partkey as sku_id",
+        f"{money('l_extendedprice')} as refund_amount",
+        f"{_second('l_shipdate')} as create_time",
     )
 
 
@@ -232,54 +227,50 @@ def refund_info(lineitem: DataFrame) -> DataFrame:
 
 def dim_user(customer: DataFrame) -> DataFrame:
     """Customers; the richer one is, the earlier the birthday."""
-    born = F.date_sub(F.lit("1990-01-01").cast("date"), F.floor("c_acctbal").cast("int"))
-    return customer.select(
-        F.col("c_custkey").alias("id"),
-        F.when(F.col("c_mktsegment") == "HOUSEHOLD", "F").otherwise("M").alias("gender"),
-        born.cast("string").alias("birthday"),
+    return customer.selectExpr(
+        "c_custkey as id",
+        "if(c_mktsegment = 'HOUSEHOLD', 'F', 'M') as gender",
+        "cast(date_sub(date'1990-01-01', cast(floor(c_acctbal) as int)) as string) as birthday",
     )
 
 
 def dim_province(nation: DataFrame) -> DataFrame:
-    return nation.select(
-        F.col("n_nationkey").cast("bigint").alias("id"),
-        F.col("n_name").alias("name"),
-        F.col("n_regionkey").cast("string").alias("area_code"),
-        F.concat(F.lit("N"), "n_nationkey").alias("iso_code"),
-        F.concat(F.lit("R"), "n_regionkey", F.lit("-"), "n_nationkey").alias("iso_3166_2"),
+    return nation.selectExpr(
+        "cast(n_nationkey as bigint) as id",
+        "n_name as name",
+        "cast(n_regionkey as string) as area_code",
+        "concat('N', n_nationkey) as iso_code",
+        "concat('R', n_regionkey, '-', n_nationkey) as iso_3166_2",
     )
 
 
-def _brand_number() -> Column:
-    return F.regexp_extract("p_brand", r"(\d+)", 1).cast("bigint")
-
-
-def _type_number() -> Column:
-    names = F.array(*[F.lit(name) for name in PART_TYPES])
-    return F.array_position(names, F.col("p_type")).cast("bigint")
+BRAND_NUMBER = r"cast(regexp_extract(p_brand, r'(\d+)', 1) as bigint)"
+TYPE_NUMBER = f"array_position(array{PART_TYPES}, p_type)"
 
 
 def dim_sku(part: DataFrame) -> DataFrame:
-    return part.select(
-        F.col("p_partkey").alias("id"),
-        F.col("p_name").alias("sku_name"),
-        money("p_retailprice").alias("price"),
-        F.col("p_size").cast("bigint").alias("spu_id"),
-        _brand_number().alias("tm_id"),
-        _type_number().alias("category3_id"),
+    return part.selectExpr(
+        "p_partkey as id",
+        "p_name as sku_name",
+        f"{money('p_retailprice')} as price",
+        "cast(p_size as bigint) as spu_id",
+        f"{BRAND_NUMBER} as tm_id",
+        f"{TYPE_NUMBER} as category3_id",
     )
 
 
 def dim_spu(supplier: DataFrame) -> DataFrame:
-    return supplier.select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("spu_name"))
+    return supplier.selectExpr("s_suppkey as id", "s_name as spu_name")
 
 
 def dim_trademark(part: DataFrame) -> DataFrame:
-    return part.select(_brand_number().alias("id"), F.col("p_brand").alias("tm_name")).distinct()
+    return part.select("p_brand").distinct().selectExpr(
+        f"{BRAND_NUMBER} as id", "p_brand as tm_name"
+    )
 
 
 def dim_category3(part: DataFrame) -> DataFrame:
-    return part.select(_type_number().alias("id"), F.col("p_type").alias("name")).distinct()
+    return part.select("p_type").distinct().selectExpr(f"{TYPE_NUMBER} as id", "p_type as name")
 
 
 def dimensions(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -297,74 +288,52 @@ def dimensions(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 # Change records
 
 
-def _image(**columns: Column) -> Column:
-    pairs = [x for name, c in columns.items() for x in (F.lit(name), c.cast("string"))]
-    return F.create_map(*pairs)
-
-
 def raw_changes(source: DataFrame, orders: DataFrame) -> DataFrame:
     """Logged changes: users, payments and favourites from events, orders from orders."""
-    kind = F.col("event_type")
-    image = _image(
-        id=F.col("user_id"),
-        name=F.concat(F.lit("user"), F.col("k")),
-        level=F.col("k"),
-        phone=F.concat(F.lit("1"), F.col("event_id")),
+    image = """map('id', cast(user_id as string), 'name', concat('user', k),
+                   'level', cast(k as string), 'phone', concat('1', event_id))"""
+    from_events = events(source).selectExpr(
+        """concat('mysql.shop.', case when event_type in ('signup', 'click', 'error')
+             then 'user_info' when event_type = 'purchase' then 'payment_info'
+             else 'favor_info' end) as topic""",
+        "case event_type when 'click' then 'u' when 'error' then 'd' else 'CREATE' end as op",
+        f"case when event_type in ('click', 'error') then {image} end as before",
+        f"case when event_type <> 'error' then {image} end as after",
+        "event_id as seq",
     )
-    table_name = (
-        F.when(kind.isin("signup", "click", "error"), "user_info")
-        .when(kind == "purchase", "payment_info")
-        .otherwise("favor_info")
-    )
-    from_events = events(source).select(
-        F.concat(F.lit("mysql.shop."), table_name).alias("topic"),
-        F.when(kind == "click", "u").when(kind == "error", "d").otherwise("CREATE").alias("op"),
-        F.when(kind.isin("click", "error"), image).alias("before"),
-        F.when(kind != "error", image).alias("after"),
-        F.col("event_id").alias("seq"),
-    )
-    from_orders = orders.select(
-        F.lit("mysql.shop.order_info").alias("topic"),
-        F.lit("c").alias("op"),
-        F.lit(None).cast("map<string,string>").alias("before"),
-        _image(
-            id=F.col("o_orderkey"),
-            user_id=F.col("o_custkey"),
-            total_amount=money("o_totalprice"),
-            order_comment=F.col("o_orderpriority"),
-        ).alias("after"),
-        F.col("o_orderkey").alias("seq"),
+    from_orders = orders.selectExpr(
+        "'mysql.shop.order_info' as topic",
+        "'c' as op",
+        "cast(null as map<string,string>) as before",
+        f"""map('id', cast(o_orderkey as string), 'user_id', cast(o_custkey as string),
+                'total_amount', cast({money('o_totalprice')} as string),
+                'order_comment', o_orderpriority) as after""",
+        "o_orderkey as seq",
     )
     return from_events.unionByName(from_orders)
 
 
 def user_snapshot(customer: DataFrame) -> DataFrame:
     """Stored users before the logged changes."""
-    return customer.select(
-        F.col("c_custkey").cast("string").alias("id"),
-        F.col("c_name").alias("name"),
-        F.col("c_nationkey").cast("string").alias("level"),
-        F.lit(None).cast("string").alias("phone"),
+    return customer.selectExpr(
+        "cast(c_custkey as string) as id",
+        "c_name as name",
+        "cast(c_nationkey as string) as level",
+        "cast(null as string) as phone",
     )
 
 
 def config_changes(part: DataFrame) -> DataFrame:
     """Parts as changes of the routing config; large parts are deletes."""
-    empty = F.expr("cast(map() as map<string,string>)")
-    row = _image(
-        source_table=F.col("p_type"),
-        operate_type=F.col("p_brand"),
-        sink_type=F.when(F.col("p_size") < 25, "kafka").otherwise("hbase"),
-        sink_table=F.col("p_name"),
-        sink_columns=F.concat_ws(",", F.lit("id"), F.split("p_name", " ")[0]),
-        sink_pk=F.lit("id"),
-    )
-    deleted = F.col("p_size") >= 45
-    return part.select(
-        F.when(deleted, row).otherwise(empty).alias("before"),
-        F.when(deleted, empty).otherwise(row).alias("after"),
-        F.when(deleted, "delete").otherwise("insert").alias("type"),
-        F.col("p_partkey").alias("seq"),
+    row = """map('source_table', p_type, 'operate_type', p_brand,
+                 'sink_type', if(p_size < 25, 'kafka', 'hbase'), 'sink_table', p_name,
+                 'sink_columns', concat('id,', split(p_name, ' ')[0]), 'sink_pk', 'id')"""
+    empty = "cast(map() as map<string,string>)"
+    return part.selectExpr(
+        f"if(p_size >= 45, {row}, {empty}) as before",
+        f"if(p_size >= 45, {empty}, {row}) as after",
+        "if(p_size >= 45, 'delete', 'insert') as type",
+        "p_partkey as seq",
     )
 
 
@@ -379,8 +348,6 @@ ROUTES = (
 
 
 def routes(spark: SparkSession) -> DataFrame:
-    from rtdw.sources.rows import literal_table
-
     ddl = (
         "source_table string, operate_type string, sink_type string, sink_table string, "
         "sink_columns string, sink_pk string"

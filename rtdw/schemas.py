@@ -15,6 +15,8 @@ TYPES = {
     "string": T.StringType(),
     "bigint": T.LongType(),
     "int": T.IntegerType(),
+    "double": T.DoubleType(),
+    "timestamp_ntz": T.TimestampNTZType(),
     "decimal(16,2)": MONEY,
     "decimal(26,2)": MONEY_SUM,
     "map<string,string>": TEXT_MAP,

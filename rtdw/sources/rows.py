@@ -4,22 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from rtdw.schemas import struct
 
 
-def literal_table(spark: SparkSession, ddl: str, rows: Sequence[Sequence]) -> DataFrame:
-    """A table of literals inside the plan, so its size is known to the optimizer.
+def literal_table(spark: SparkSession, columns: str, rows: Sequence[Sequence[str]]) -> DataFrame:
+    """A table of text literals inside the plan, so its size is known to the optimizer.
 
     ``createDataFrame`` on a Python list has no size estimate, and a join with
     it would shuffle both sides.
     """
-    schema = struct(ddl)
-    entry = [
-        F.struct(
-            *[F.lit(value).cast(f.dataType).alias(f.name) for value, f in zip(row, schema)]
-        )
-        for row in rows
-    ]
-    return spark.range(1).select(F.inline(F.array(*entry)))
+
+    def quoted(value: str) -> str:
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    names = ", ".join(struct(columns).fieldNames())
+    values = ", ".join("(" + ", ".join(quoted(v) for v in row) + ")" for row in rows)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS literal_rows({names})")
