@@ -9,9 +9,8 @@ import re
 
 from pyspark.sql import Column, functions as F
 
-# The text forms records carry.
+# The text form records carry.
 SECOND_FORMAT = "yyyy-MM-dd HH:mm:ss"
-DAY_FORMAT = "yyyy-MM-dd"
 
 _UNIT_MS = {
     "millisecond": 1,
@@ -49,11 +48,13 @@ def millis_to_day(millis: str) -> Column:
 
 
 def text_to_ts(text: str) -> Column:
-    return F.expr(f"to_timestamp({text}, '{SECOND_FORMAT}')")
+    """The instant of a ``SECOND_FORMAT`` text. A cast reads it several times faster than a
+    pattern does; text that is no time fails the job."""
+    return F.expr(f"cast({text} as timestamp)")
 
 
 def text_to_millis(text: str) -> Column:
-    return F.expr(f"unix_millis(to_timestamp({text}, '{SECOND_FORMAT}'))")
+    return F.expr(f"unix_millis(cast({text} as timestamp))")
 
 
 def ts_to_text(ts: str) -> Column:
@@ -76,6 +77,6 @@ def time_parts(create_time: str) -> dict[str, Column]:
 
 def age_years(birthday: str, as_of: str | None = None) -> Column:
     """Whole 365-day years from a yyyy-MM-dd birthday to ``as_of`` (default now)."""
-    now = f"to_timestamp('{as_of}')" if as_of else "current_timestamp()"
-    born = f"to_timestamp({birthday}, '{DAY_FORMAT}')"
+    now = f"cast('{as_of}' as timestamp)" if as_of else "current_timestamp()"
+    born = f"cast({birthday} as timestamp)"
     return F.expr(f"cast((unix_millis({now}) - unix_millis({born})) div {YEAR_MS} as int)")

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from rtdw.functions.codes import APPRAISE_GOOD
-from rtdw.functions.times import SECOND_FORMAT
 from rtdw.schemas import struct
 
 # Measures default to 0. The three ids mark which order a row counts for.
@@ -25,7 +24,7 @@ VISITOR_COUNTS = ("uv_ct", "pv_ct", "sv_ct", "uj_ct", "dur_sum")
 DETAIL_PAGE = "good_detail"
 SKU_ITEM = "sku_id"
 
-CREATED = f"unix_millis(to_timestamp(create_time, '{SECOND_FORMAT}'))"
+CREATED = "unix_millis(cast(create_time as timestamp))"
 
 
 def product_event(df: DataFrame, **given: str) -> DataFrame:

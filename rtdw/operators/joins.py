@@ -1,9 +1,10 @@
 """The two join forms of the warehouse: interval join and dimension lookup.
 
-Neither forces a broadcast. Spark compares the size of a side with
+A lookup forces no broadcast. Spark compares the size of a dimension with
 ``spark.sql.autoBroadcastJoinThreshold``, from file statistics first and from
 shuffle sizes at run time, and falls back to a sorted merge whose skewed
-partitions AQE splits.
+partitions AQE splits. An interval join has facts on both sides, which grow
+with the data, so it always merges.
 """
 
 from __future__ import annotations
@@ -53,14 +54,25 @@ def interval_join(
         return left.alias("l").join(right.alias("r"), F.expr(match), "inner")
 
     length = duration_ms(slice_length) if slice_length else max(16 * (high - low), 1)
-    first = f"floor((unix_millis({left_time}) + ({low})) / {length})"
-    last = f"floor((unix_millis({left_time}) + ({high})) / {length})"
-    sliced_left = left.selectExpr("*", f"explode(sequence({first}, {last})) as __slice")
+    # The join time comes out of the generator too: a null check on a plain
+    # column would be pushed to the scan and parse the time text once more.
+    sliced_left = left.selectExpr(
+        "*",
+        f"""inline(transform(
+              sequence(floor((unix_millis({left_time}) + ({low})) / {length}),
+                       floor((unix_millis({left_time}) + ({high})) / {length})),
+              s -> struct({left_time} as __at, s as __slice)))""",
+    )
     sliced_right = right.selectExpr(
-        "*", f"floor(unix_millis({right_time}) / {length}) as __slice"
+        "*",
+        f"""inline(array(struct(
+              {right_time} as __at, floor(unix_millis({right_time}) / {length}) as __slice)))""",
     )
+    sliced_match = match.replace(f"l.{left_time}", "l.__at").replace(f"r.{right_time}", "r.__at")
     return sliced_left.alias("l").join(
-        sliced_right.alias("r"), F.expr(f"{match} and l.__slice = r.__slice"), "inner"
+        sliced_right.alias("r").hint("merge"),
+        F.expr(f"{sliced_match} and l.__slice = r.__slice"),
+        "inner",
     )
 
 

@@ -3,6 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import types as T
+
+from rtdw.operators.parse import not_one, parse_once
+from rtdw.schemas import TEXT_MAP
 
 # Topic names of the detail layer.
 PAGE_TOPIC = "dwd_page_log"
@@ -10,19 +14,36 @@ START_TOPIC = "dwd_start_log"
 DISPLAY_TOPIC = "dwd_display_log"
 DIRTY_TOPIC = "dirty_log"
 
-DISPLAYS = "array<map<string,string>>"
+RECORD = T.StructType(
+    [
+        T.StructField("common", TEXT_MAP),
+        T.StructField("page", TEXT_MAP),
+        T.StructField("displays", T.ArrayType(TEXT_MAP)),
+        T.StructField("start", T.StringType()),
+        T.StructField("ts", T.StringType()),
+    ]
+)
+
 
+def read_log(lines: DataFrame, value: str = "value") -> DataFrame:
+    """Log lines with the fields the split needs, and ``dirty``.
 
-def log_columns(clean: DataFrame, value: str = "value") -> DataFrame:
-    """From clean parsed records: the fields the split needs, beside the raw text."""
-    return clean.select(
-        F.col(value).alias("value"),
-        F.variant_get("record", "$.common.mid", "string").alias("mid"),
-        F.variant_get("record", "$.common.is_new", "string").alias("is_new"),
-        F.variant_get("record", "$.ts", "bigint").alias("ts"),
-        F.to_json(F.variant_get("record", "$.start", "variant")).alias("start"),
-        F.variant_get("record", "$.page.page_id", "string").alias("page_id"),
-        F.variant_get("record", "$.displays", DISPLAYS).alias("displays"),
+    Dirty is a line that is not one JSON object, or has no device id.
+    """
+    record = "__parsed[0]"
+    return (
+        parse_once(lines.selectExpr(f"{value} as value"), RECORD)
+        .select("value", F.expr(record).alias("r"), not_one().alias("broken"))
+        .selectExpr(
+            "value",
+            "r.common['mid'] as mid",
+            "r.common['is_new'] as is_new",
+            "try_cast(r.ts as bigint) as ts",
+            "if(r.start = 'null', null, r.start) as start",
+            "r.page['page_id'] as page_id",
+            "r.displays as displays",
+            "broken or r.common['mid'] is null as dirty",
+        )
     )
 
 
@@ -62,45 +83,32 @@ def with_flag(value: Column, is_new: Column) -> Column:
     return F.when(is_new == "0", lowered).otherwise(value)
 
 
-def is_start(start: Column) -> Column:
-    """A start log has a ``start`` object; JSON null counts as absent."""
-    return start.isNotNull() & (start != "null")
+# One display with its page's id, as a map.
+_DISPLAY = "map_concat(map_filter(d, (k, v) -> k <> 'page_id'), map('page_id', page_id))"
 
 
-def display_rows(df: DataFrame) -> DataFrame:
+def display_rows(log: DataFrame) -> DataFrame:
     """One row per display, with the id of its page; start logs give none."""
-    page_only = df.where(~F.coalesce(is_start(F.col("start")), F.lit(False)))
-    return page_only.select("page_id", F.explode("displays").alias("display")).select(
-        F.map_concat(
-            F.map_filter("display", lambda k, v: k != "page_id"),
-            F.create_map(F.lit("page_id"), F.col("page_id")),
-        ).alias("display")
-    )
+    shown = log.where("start is null").select("page_id", F.explode("displays").alias("d"))
+    return shown.selectExpr(f"{_DISPLAY} as display")
 
 
-def split_topics(df: DataFrame) -> DataFrame:
-    """Rows (topic, value) of all three logs, in one pass over the input.
+def split_topics(log: DataFrame) -> DataFrame:
+    """Rows (topic, value) of all logs, in one pass over the input.
 
-    A start log gives its ``start`` object only. Any other row gives the whole
-    record to the page log and each display, with ``page_id``, to the display log.
+    A start log gives its ``start`` object only. Any other record gives the whole
+    record to the page log and each display, with ``page_id``, to the display
+    log. Dirty lines go to a topic of their own.
     """
-    page = F.struct(
-        F.lit(PAGE_TOPIC).alias("topic"),
-        with_flag(F.col("value"), F.col("is_new")).alias("value"),
-    )
-    start = F.struct(F.lit(START_TOPIC).alias("topic"), F.col("start").alias("value"))
-    shown = F.transform(
-        F.coalesce("displays", F.expr(f"cast(array() as {DISPLAYS})")),
-        lambda d: F.struct(
-            F.lit(DISPLAY_TOPIC).alias("topic"),
-            F.to_json(
-                F.map_concat(
-                    F.map_filter(d, lambda k, v: k != "page_id"),
-                    F.create_map(F.lit("page_id"), F.col("page_id")),
-                )
-            ).alias("value"),
-        ),
+    return log.withColumn("value", with_flag(F.col("value"), F.col("is_new"))).selectExpr(
+        f"""inline(
+              case when dirty then array(struct('{DIRTY_TOPIC}' as topic, value as value))
+                   when start is not null
+                   then array(struct('{START_TOPIC}' as topic, start as value))
+                   else concat(
+                     array(struct('{PAGE_TOPIC}' as topic, value as value)),
+                     transform(coalesce(displays, array()),
+                               d -> struct('{DISPLAY_TOPIC}' as topic,
+                                           to_json({_DISPLAY}) as value)))
+              end)"""
     )
-    started = F.coalesce(is_start(F.col("start")), F.lit(False))
-    outputs = F.when(started, F.array(start)).otherwise(F.concat(F.array(page), shown))
-    return df.select(F.inline(outputs))

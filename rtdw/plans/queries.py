@@ -116,12 +116,8 @@ def json_dirty_split(spark, d):
 @query
 def log_split_counts(spark, d):
     lines = standin.raw_log(table(spark, d, "events"), table(spark, d, "conversations"))
-    marked = parse.mark_dirty(lines, required=("$.common.mid",))
-    records = logs.log_columns(marked.where(~F.col("dirty")))
-    fixed = logs.fix_new_visitor(records, order=("ts", "value"))
-    rows = logs.split_topics(fixed).unionByName(
-        marked.where("dirty").select(F.lit(logs.DIRTY_TOPIC).alias("topic"), "value")
-    )
+    fixed = logs.fix_new_visitor(logs.read_log(lines), order=("ts", "value"))
+    rows = logs.split_topics(fixed)
     clean = F.col("topic") != logs.DIRTY_TOPIC
 
     def field(path):
@@ -140,15 +136,10 @@ def log_split_counts(spark, d):
 
 @query
 def display_explode(spark, d):
-    rows = standin.log_records(table(spark, d, "events")).select(
-        F.col("page.page_id").alias("page_id"),
-        F.transform(
-            "displays",
-            lambda x: F.create_map(
-                F.lit("item"), x["item"], F.lit("item_type"), x["item_type"]
-            ),
-        ).alias("displays"),
-        F.to_json("start").alias("start"),
+    rows = standin.log_records(table(spark, d, "events")).selectExpr(
+        "page.page_id as page_id",
+        "transform(displays, x -> map('item', x.item, 'item_type', x.item_type)) as displays",
+        "to_json(start) as start",
     )
     shown = F.col("display")
     return (

@@ -11,10 +11,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rtdw.functions.times import SECOND_FORMAT
 from rtdw.operators.wide import as_record
 from rtdw.schemas import ORDER_DETAIL, ORDER_INFO, PAYMENT_INFO, struct
 from rtdw.sources.rows import literal_table
+from rtdw.sources.tables import read_table, spread
 
 # Parameters of the sample runs: events are hours apart and ship dates months
 # from their orders, so windows and intervals are wider than the shop's.
@@ -51,11 +51,12 @@ TABLES = {
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.schema(struct(TABLES[name])).parquet(f"{sf_dir}/{name}.parquet")
+    return read_table(spark, f"{sf_dir}/{name}.parquet", struct(TABLES[name]))
 
 
 def _second(ts: str) -> str:
-    return f"date_format({ts}, '{SECOND_FORMAT}')"
+    """A time as text, without its fraction."""
+    return f"cast(date_trunc('second', {ts}) as string)"
 
 
 def money(value: str) -> str:
@@ -117,13 +118,13 @@ RECORD_TEXT = "to_json(struct(common, page, displays, start, ts)) as value"
 
 def raw_log(source: DataFrame, conversations: DataFrame) -> DataFrame:
     """Log lines as text; conversation turns are the lines that are not records."""
-    lines = log_records(source).selectExpr(RECORD_TEXT)
+    lines = log_records(spread(source)).selectExpr(RECORD_TEXT)
     return lines.unionByName(conversations.selectExpr("text as value"))
 
 
 def search_pages(documents: DataFrame, source: DataFrame) -> DataFrame:
     """Pages for the keyword job: each document is a searched text, events are other pages."""
-    searched = documents.selectExpr(
+    searched = spread(documents).selectExpr(
         "map('item_type', 'keyword', 'item', text) as page",
         f"doc_id * 60000 + {FIRST_DOCUMENT_MS} as ts",
     )
@@ -153,7 +154,7 @@ def order_info(orders: DataFrame, customer: DataFrame) -> DataFrame:
             "total_amount": money("o_totalprice"),
             "activity_reduce_amount": "0",
             "original_total_amount": money("o_totalprice"),
-            "create_time": _second("o_orderdate"),
+            "create_time": "cast(o_orderdate as string)",
         },
     )
 
@@ -170,7 +171,7 @@ def order_detail(lineitem: DataFrame) -> DataFrame:
             "sku_id": "l_partkey",
             "order_price": price,
             "sku_num": "l_quantity",
-            "create_time": _second("l_shipdate"),
+            "create_time": "cast(l_shipdate as string)",
             "split_total_amount": f"{price} - {off}",
             "split_coupon_amount": off,
         },
@@ -191,7 +192,7 @@ def payment_info(orders: DataFrame) -> DataFrame:
             "subject": "o_orderpriority",
             "payment_type": "case when o_totalprice < 100000 then '1101' "
             "when o_totalprice < 300000 then '1102' else '1103' end",
-            "create_time": _second(f"cast(o_orderdate as timestamp) + {later}"),
+            "create_time": f"cast(o_orderdate + {later} as string)",
         },
     )
 
@@ -218,7 +219,7 @@ def refund_info(lineitem: DataFrame) -> DataFrame:
         "l_orderkey as order_id",
         "l_partkey as sku_id",
         f"{money('l_extendedprice')} as refund_amount",
-        f"{_second('l_shipdate')} as create_time",
+        "cast(l_shipdate as string) as create_time",
     )
 
 
