@@ -51,6 +51,26 @@ class FirstFlag(StatefulProcessor):
         pass
 
 
+def first_flags(
+    flagged: DataFrame,
+    mid: str = "mid",
+    is_new: str = "is_new",
+    order: tuple[str, ...] = ("ts", "value"),
+) -> DataFrame:
+    """Rows flagged as new visitors with the flag kept on the first of each device only.
+
+    "First" is by ``order`` within a micro-batch and by arrival between them. The
+    state is one row per device and never expires, as the rule demands.
+    """
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in flagged.schema)
+    return flagged.groupBy(mid).transformWithStateInPandas(
+        statefulProcessor=FirstFlag(is_new, list(order)),
+        outputStructType=columns,
+        outputMode="append",
+        timeMode="none",
+    )
+
+
 def fix_new_visitor(
     log: DataFrame,
     mid: str = "mid",
@@ -59,22 +79,10 @@ def fix_new_visitor(
 ) -> DataFrame:
     """Streaming form of the new-visitor correction.
 
-    Only flagged rows are shuffled and touch state; all others pass by. "First"
-    is by ``order`` within a micro-batch and by arrival between them. The state
-    is one row per device and never expires, as the rule demands.
+    Only flagged rows are shuffled and touch state; all others pass by.
     """
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in log.schema)
-    flagged = (
-        log.where(f"{is_new} = '1'")
-        .groupBy(mid)
-        .transformWithStateInPandas(
-            statefulProcessor=FirstFlag(is_new, list(order)),
-            outputStructType=columns,
-            outputMode="append",
-            timeMode="none",
-        )
-    )
-    return flagged.unionByName(log.where(f"{is_new} is distinct from '1'"))
+    fixed = first_flags(log.where(f"{is_new} = '1'"), mid, is_new, order)
+    return fixed.unionByName(log.where(f"{is_new} is distinct from '1'"))
 
 
 class EntryTimeout(StatefulProcessor):
