@@ -113,8 +113,28 @@ def start_log_split(w: Warehouse):
     )
 
 
-def start_db_routing(w: Warehouse):
-    """Change records to fact topics and the dimension store, by the config of the moment."""
+def compact_dimensions(w: Warehouse, upto: int) -> None:
+    """Fold the dimension changes up to a batch into a new base, for all tables of the config.
+
+    The config has a few rows per source table, so listing its tables is cheap.
+    """
+    columns = F.array_distinct(F.flatten(F.collect_list(F.split("sink_columns", ","))))
+    tables = (
+        w.config()
+        .where(F.col("sink_type") == routing.DIM_SINK)
+        .groupBy("sink_table")
+        .agg(columns.alias("columns"), F.coalesce(F.max("sink_pk"), F.lit("id")).alias("pk"))
+    )
+    for table in tables.collect():
+        w.dims.compact(table["sink_table"], sorted(table["columns"]), upto, table["pk"])
+
+
+def start_db_routing(w: Warehouse, compact_every: int = 100):
+    """Change records to fact topics and the dimension store, by the config of the moment.
+
+    Every ``compact_every`` batches the dimension changes are folded, so that a
+    reader never folds more than that many batches.
+    """
     log = changes.parse_changes(topics.read_folder(w.spark, w.path(DB_LOG)))
 
     def process(batch: DataFrame, batch_id: int) -> None:
@@ -124,6 +144,8 @@ def start_db_routing(w: Warehouse):
             w.dims.append(routing.dimensions(routed), batch_id)
         finally:
             routed.unpersist()
+        if batch_id % compact_every == compact_every - 1:
+            compact_dimensions(w, batch_id)
 
     return start_batches(log, process, w.checkpoint(FACTS), w.every)
 
