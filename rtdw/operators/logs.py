@@ -28,6 +28,7 @@ RECORD = T.StructType(
 def read_log(lines: DataFrame, value: str = "value") -> DataFrame:
     """Log lines with the fields the split needs, and ``dirty``.
 
+    ``line_id`` stands for the text where lines of equal time must be told apart.
     Dirty is a line that is not one JSON object, or has no device id.
     """
     record = "__parsed[0]"
@@ -36,6 +37,7 @@ def read_log(lines: DataFrame, value: str = "value") -> DataFrame:
         .select("value", F.expr(record).alias("r"), not_one().alias("broken"))
         .selectExpr(
             "value",
+            "xxhash64(value) as line_id",
             "r.common['mid'] as mid",
             "r.common['is_new'] as is_new",
             "try_cast(r.ts as bigint) as ts",
@@ -58,23 +60,26 @@ def fix_new_visitor(
     ``order`` must tell the rows of a device apart. The first row per device is
     taken with a ranked filter, which Spark applies before the shuffle as well,
     and joined back on the whole row identity: that key is spread evenly even
-    if one device holds a large share of all rows.
+    if one device holds a large share of all rows. Rows without the flag are not
+    shuffled at all.
     """
     first = Window.partitionBy(mid).orderBy(*order)
+    identity = (mid, *order)
+    flagged = df.where(f"{is_new} = '1'")
     firsts = (
-        df.where(F.col(is_new) == "1")
-        .select(mid, *order)
+        flagged.select(*identity)
         .withColumn("__rank", F.row_number().over(first))
         .where("__rank = 1")
-        .select(*[F.col(c).alias(f"__first_{c}") for c in (mid, *order)])
+        .selectExpr(*[f"{c} as __first_{c}" for c in identity])
     )
-    same_row = [F.col(c) == F.col(f"__first_{c}") for c in (mid, *order)]
-    later = (F.col(is_new) == "1") & F.col(f"__first_{mid}").isNull()
-    return (
-        df.join(firsts, same_row, "left")
-        .withColumn(is_new, F.when(later, "0").otherwise(F.col(is_new)))
-        .select(*df.columns)
+    same_row = " and ".join(f"{c} = __first_{c}" for c in identity)
+    fixed = flagged.join(firsts, F.expr(same_row), "left").selectExpr(
+        *[
+            f"if(__first_{mid} is null, '0', {is_new}) as {is_new}" if c == is_new else c
+            for c in df.columns
+        ]
     )
+    return fixed.unionByName(df.where(f"{is_new} is distinct from '1'"))
 
 
 def with_flag(value: Column, is_new: Column) -> Column:

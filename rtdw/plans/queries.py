@@ -116,7 +116,7 @@ def json_dirty_split(spark, d):
 @query
 def log_split_counts(spark, d):
     lines = standin.raw_log(table(spark, d, "events"), table(spark, d, "conversations"))
-    fixed = logs.fix_new_visitor(logs.read_log(lines), order=("ts", "value"))
+    fixed = logs.fix_new_visitor(logs.read_log(lines), order=("ts", "line_id"))
     rows = logs.split_topics(fixed)
     clean = F.col("topic") != logs.DIRTY_TOPIC
 

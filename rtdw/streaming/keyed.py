@@ -14,10 +14,12 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from rtdw.functions.times import duration_ms
 
-# Settings the stateful operators need.
+# Settings of the state. The keyed rules need this store; it keeps
+# large state out of the heap and with a changelog uploads only what changed.
 STATE_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 

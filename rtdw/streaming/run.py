@@ -10,6 +10,16 @@ from rtdw.session import fresh_dir, session_settings
 from rtdw.streaming.keyed import STATE_SETTINGS
 
 
+def state_partitions(spark: SparkSession) -> int:
+    """The session's shuffle partitions, but at most four per core.
+
+    Each partition of each stateful step is a store of its own, and their number
+    stays fixed for the life of a query, so it is chosen for the cluster.
+    """
+    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return min(wanted, 4 * spark.sparkContext.defaultParallelism)
+
+
 def run_to_table(spark: SparkSession, stream: DataFrame, purpose: str) -> DataFrame:
     """Process all input there is now, append to a new Parquet table and read it back.
 
@@ -17,7 +27,10 @@ def run_to_table(spark: SparkSession, stream: DataFrame, purpose: str) -> DataFr
     would in a running job.
     """
     table, checkpoint = fresh_dir(spark, purpose), fresh_dir(spark, f"{purpose}-checkpoint")
-    with session_settings(spark, STATE_SETTINGS):
+    settings = {
+        **STATE_SETTINGS, "spark.sql.shuffle.partitions": str(state_partitions(spark))
+    }
+    with session_settings(spark, settings):
         (
             stream.writeStream.format("parquet")
             .outputMode("append")
