@@ -512,3 +512,9 @@ FROM word
 WHERE (ts // {HOUR_MS} + 1) * {HOUR_MS} <= (SELECT max(ts) - 2000 FROM word)
 GROUP BY ALL""",
 }
+CHECKS["stream_log_split"] = CHECKS["log_split_counts"]
+CHECKS["stream_route_facts"] = CHECKS["route_fact_payload"]
+CHECKS["stream_dim_upsert"] = f"""{_with(CHANGE)}
+SELECT after_id AS id, arg_max(name, seq) AS name,
+       arg_max(level, seq) FILTER (WHERE type = 'insert') AS level
+FROM user_change WHERE type <> 'delete' GROUP BY after_id"""

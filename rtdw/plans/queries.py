@@ -12,6 +12,7 @@ from rtdw.operators import cdc, events, joins, logs, parse, routing, stats, visi
 from rtdw.plans import standin
 from rtdw.plans.standin import table
 from rtdw.schemas import MONEY_SUM, PRODUCT_STATS, struct
+from rtdw.sources.tables import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -36,10 +37,14 @@ def _page_log(spark, d):
     return standin.page_log(table(spark, d, "events"))
 
 
+def _order_detail(spark, d):
+    return standin.order_detail(spread(table(spark, d, "lineitem")))
+
+
 def _order_wide(spark, d):
     return wide.order_wide(
         standin.order_info(table(spark, d, "orders"), table(spark, d, "customer")),
-        standin.order_detail(table(spark, d, "lineitem")),
+        _order_detail(spark, d),
         standin.DETAIL_LOWER,
         standin.DETAIL_UPPER,
     )
@@ -83,6 +88,24 @@ def _user_changes(spark, d):
     return _changes(spark, d).where(F.col("tableName") == "user_info")
 
 
+def topic_counts(rows):
+    """Rows per topic, page and new-visitor flag."""
+    clean = F.col("topic") != logs.DIRTY_TOPIC
+
+    def field(path):
+        return F.when(clean, F.get_json_object("value", path))
+
+    return (
+        rows.select(
+            "topic",
+            F.coalesce(field("$.page.page_id"), field("$.page_id")).alias("page_id"),
+            field("$.common.is_new").alias("is_new"),
+        )
+        .groupBy("topic", "page_id", "is_new")
+        .agg(F.count("*").alias("n"))
+    )
+
+
 # Sources and parsing
 
 
@@ -118,20 +141,7 @@ def log_split_counts(spark, d):
     lines = standin.raw_log(table(spark, d, "events"), table(spark, d, "conversations"))
     fixed = logs.fix_new_visitor(logs.read_log(lines), order=("ts", "line_id"))
     rows = logs.split_topics(fixed)
-    clean = F.col("topic") != logs.DIRTY_TOPIC
-
-    def field(path):
-        return F.when(clean, F.get_json_object("value", path))
-
-    return (
-        rows.select(
-            "topic",
-            F.coalesce(field("$.page.page_id"), field("$.page_id")).alias("page_id"),
-            field("$.common.is_new").alias("is_new"),
-        )
-        .groupBy("topic", "page_id", "is_new")
-        .agg(F.count("*").alias("n"))
-    )
+    return topic_counts(rows)
 
 
 @query
@@ -303,7 +313,7 @@ def product_stats_sink_columns(spark, d):
 
 @query
 def distinct_orders_by_sku(spark, d):
-    details = events.orders(standin.order_detail(table(spark, d, "lineitem")))
+    details = events.orders(_order_detail(spark, d))
     return stats.distinct_orders(details, "sku_id", "order_id", standin.MONTH)
 
 

@@ -10,13 +10,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rtdw.functions import times
-from rtdw.operators import events, joins, stats, wide
+from rtdw.operators import cdc, events, joins, routing, stats, wide
 from rtdw.plans import standin
-from rtdw.plans.queries import query
+from rtdw.plans.queries import query, topic_counts
 from rtdw.plans.standin import TABLES, table
 from rtdw.schemas import MONEY_SUM, struct
-from rtdw.streaming import keyed, visits
-from rtdw.streaming.run import run_to_table
+from rtdw.session import fresh_dir
+from rtdw.sinks.dims import DimensionStore
+from rtdw.streaming import jobs, keyed, visits
+from rtdw.streaming.run import run_to_table, start_batches
 
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -154,3 +156,38 @@ def stream_keyword_stats(spark, d):
     )
     counted = stats.keyword_stats(pages, standin.HOUR).drop("ts")
     return run_to_table(spark, counted, "keyword-stats")
+
+
+# Splitting and routing
+
+
+def _routed(spark, d):
+    changes = cdc.normalise(
+        standin.raw_changes(stream_table(spark, d, "events"), stream_table(spark, d, "orders"))
+    )
+    return routing.route(cdc.drop_deletes(changes), standin.routes(spark))
+
+
+@query
+def stream_log_split(spark, d):
+    lines = standin.raw_log(
+        stream_table(spark, d, "events"), stream_table(spark, d, "conversations")
+    )
+    return topic_counts(run_to_table(spark, jobs.split_log(lines), "log-split"))
+
+
+@query
+def stream_route_facts(spark, d):
+    return run_to_table(spark, routing.facts(_routed(spark, d)), "facts")
+
+
+@query
+def stream_dim_upsert(spark, d):
+    store = DimensionStore(spark, fresh_dir(spark, "dim"))
+    start_batches(
+        routing.dimensions(_routed(spark, d)),
+        store.append,
+        fresh_dir(spark, "dim-checkpoint"),
+        every=None,
+    ).awaitTermination()
+    return store.read("DIM_USER_INFO", ["id", "name", "level"])

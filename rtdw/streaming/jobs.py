@@ -100,17 +100,21 @@ def _pages(lines: DataFrame) -> DataFrame:
     return lines.select("value", F.explode(F.array(record)).alias("r")).select("value", "r.*")
 
 
-def start_log_split(w: Warehouse):
-    """Application log to page, start, display and dirty topics."""
-    log = logs.read_log(topics.read_folder(w.spark, w.path(APP_LOG)))
+def split_log(lines: DataFrame) -> DataFrame:
+    """Application log lines to rows (topic, value), with the new-visitor flag corrected."""
+    log = logs.read_log(lines)
     flagged = "not dirty and is_new <=> '1'"
     fixed = keyed.first_flags(
-        log.where(flagged).select("value", "mid", "is_new", "ts")
+        log.where(flagged).select("value", "line_id", "mid", "is_new", "ts"),
+        order=("ts", "line_id"),
     ).select(logs.with_flag(F.col("value"), F.col("is_new")).alias("value"))
-    rows = log.where(f"not ({flagged})").unionByName(logs.read_log(fixed))
-    return topic_sink.start_folder(
-        logs.split_topics(rows), w.path(LOGS), w.checkpoint(LOGS), w.every
-    )
+    return logs.split_topics(log.where(f"not ({flagged})").unionByName(logs.read_log(fixed)))
+
+
+def start_log_split(w: Warehouse):
+    """Application log to page, start, display and dirty topics."""
+    rows = split_log(topics.read_folder(w.spark, w.path(APP_LOG)))
+    return topic_sink.start_folder(rows, w.path(LOGS), w.checkpoint(LOGS), w.every)
 
 
 def compact_dimensions(w: Warehouse, upto: int) -> None:
