@@ -316,6 +316,12 @@ SELECT event_id, strftime(ts, {SECOND}) AS create_time, strftime(ts, '%Y-%m-%d')
 FROM events""",
     "user_age": f"""{_with(DIM)}
 SELECT id, birthday, CAST(lived // 31536000000 AS INTEGER) AS user_age FROM dim_user""",
+    "fact_records": f"""{_with(ORDER)}
+SELECT id, province_id, order_status, user_id, total_amount, activity_reduce_amount, create_time
+FROM order_info""",
+    "province_rows": f"""{_with(ORDER)}
+SELECT province_id, split_total_amount AS order_amount, CAST(1 AS BIGINT) AS order_count
+FROM order_wide""",
     "product_click_display": f"""{_with(LOG)}
 SELECT sku_id, CAST(sum(click_ct) AS BIGINT) AS click_ct,
        CAST(sum(display_ct) AS BIGINT) AS display_ct

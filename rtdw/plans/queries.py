@@ -11,8 +11,10 @@ from rtdw.functions import codes, text, times
 from rtdw.operators import cdc, events, joins, logs, parse, routing, stats, visits, wide
 from rtdw.plans import standin
 from rtdw.plans.standin import table
-from rtdw.schemas import MONEY_SUM, PRODUCT_STATS, struct
+from rtdw.schemas import MONEY_SUM, ORDER_INFO, PRODUCT_STATS, struct
+from rtdw.sinks.topics import as_text
 from rtdw.sources.tables import spread
+from rtdw.sources.topics import records
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -271,6 +273,25 @@ def user_age(spark, d):
     return users.select("id", "birthday", times.age_years("birthday", standin.AS_OF).alias("user_age"))
 
 
+@query
+def fact_records(spark, d):
+    """Orders written as JSON text and read back as typed records."""
+    lines = as_text(
+        standin.order_info(table(spark, d, "orders"), table(spark, d, "customer"))
+    )
+    return records(lines, ORDER_INFO).select(
+        "id", "province_id", "order_status", "user_id", "total_amount", "activity_reduce_amount",
+        "create_time",
+    )
+
+
+@query
+def province_rows(spark, d):
+    return wide.province_row(_order_wide(spark, d)).select(
+        "province_id", "order_amount", "order_count"
+    )
+
+
 # Statistics
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from rtdw.streaming.run import start_table
+from rtdw.streaming.run import start, start_table
 
 
 def as_text(df: DataFrame) -> DataFrame:
@@ -28,7 +28,7 @@ def write_batch(rows: DataFrame, path: str, batch_id: int, file_format: str = "t
 
 def start_kafka(
     rows: DataFrame, servers: str, checkpoint: str, topic: str | None = None,
-    every: str = "5 seconds",
+    every: str | None = "5 seconds",
 ):
     """Send a stream to Kafka: to ``topic``, or each row to the topic in its column.
 
@@ -41,7 +41,15 @@ def start_kafka(
     )
     if topic:
         writer = writer.option("topic", topic)
-    return writer.trigger(processingTime=every).start()
+    return start(rows.sparkSession, writer, every)
+
+
+def send_batch(rows: DataFrame, servers: str, topic: str | None = None) -> None:
+    """Send one micro-batch to Kafka."""
+    writer = rows.write.format("kafka").option("kafka.bootstrap.servers", servers)
+    if topic:
+        writer = writer.option("topic", topic)
+    writer.save()
 
 
 def start_console(rows: DataFrame, label: str):

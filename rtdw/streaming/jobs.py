@@ -47,11 +47,17 @@ DIMENSIONS = {
 
 @dataclass(frozen=True)
 class Warehouse:
-    """A session and the folder, shared by all executors, that holds all topics and tables."""
+    """A session and the folder, shared by all executors, that holds all topics and tables.
+
+    With ``servers`` the topics live in Kafka instead; dimensions, config and
+    statistics stay in the folder.
+    """
 
     spark: SparkSession
     root: str
     every: str | None = "5 seconds"
+    servers: str | None = None
+    starting: str = "latest"
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -76,23 +82,47 @@ class Warehouse:
         log = changes.stored_changes(self.spark, self.path(CONFIG_LOG))
         return routing.latest_config(routing.config_rows(log))
 
-    def log_topic(self, topic: str) -> DataFrame:
-        return topics.read_topic(self.spark, self.path(LOGS), topic)
+    def lines(self, topic: str) -> DataFrame:
+        """A topic as a stream of text."""
+        if self.servers:
+            return topics.read_kafka(self.spark, self.servers, topic, self.starting)
+        if topic in (logs.PAGE_TOPIC, logs.START_TOPIC, logs.DISPLAY_TOPIC):
+            return topics.read_topic(self.spark, self.path(LOGS), topic)
+        if topic == ORDER_WIDE:
+            return topics.read_batches(self.spark, self.path(topic))
+        if topic.startswith("dwd_"):
+            return topics.read_batches(self.spark, self.path(FACTS), topic)
+        return topics.read_folder(self.spark, self.path(topic))
+
+    def start_sending(self, rows: DataFrame, name: str):
+        """Start writing a stream to the topic ``name``, or to the topic each row names."""
+        if self.servers:
+            topic = None if "topic" in rows.columns else name
+            return topic_sink.start_kafka(
+                rows, self.servers, self.checkpoint(name), topic, self.every
+            )
+        return topic_sink.start_folder(rows, self.path(name), self.checkpoint(name), self.every)
+
+    def send_batch(self, rows: DataFrame, name: str, batch_id: int) -> None:
+        """Write one micro-batch likewise."""
+        if self.servers:
+            topic = None if "topic" in rows.columns else name
+            topic_sink.send_batch(rows, self.servers, topic)
+        else:
+            topic_sink.write_batch(rows, self.path(name), batch_id)
 
     def pages(self) -> DataFrame:
         """The page log, with each record's text."""
-        return _pages(self.log_topic(logs.PAGE_TOPIC))
+        return _pages(self.lines(logs.PAGE_TOPIC))
 
     def fact(self, topic: str, schema: T.StructType) -> DataFrame:
-        return topics.records(topics.read_batches(self.spark, self.path(FACTS), topic), schema)
+        return topics.records(self.lines(topic), schema)
 
     def orders_wide(self) -> DataFrame:
-        lines = topics.read_batches(self.spark, self.path(ORDER_WIDE))
-        return topics.records(lines, schemas.ORDER_WIDE)
+        return self.fact(ORDER_WIDE, schemas.ORDER_WIDE)
 
     def payments_wide(self) -> DataFrame:
-        lines = topics.read_folder(self.spark, self.path(PAYMENT_WIDE))
-        return topics.records(lines, schemas.PAYMENT_WIDE)
+        return self.fact(PAYMENT_WIDE, schemas.PAYMENT_WIDE)
 
 
 def _pages(lines: DataFrame) -> DataFrame:
@@ -113,8 +143,7 @@ def split_log(lines: DataFrame) -> DataFrame:
 
 def start_log_split(w: Warehouse):
     """Application log to page, start, display and dirty topics."""
-    rows = split_log(topics.read_folder(w.spark, w.path(APP_LOG)))
-    return topic_sink.start_folder(rows, w.path(LOGS), w.checkpoint(LOGS), w.every)
+    return w.start_sending(split_log(w.lines(APP_LOG)), LOGS)
 
 
 def compact_dimensions(w: Warehouse, upto: int) -> None:
@@ -139,12 +168,12 @@ def start_db_routing(w: Warehouse, compact_every: int = 100):
     Every ``compact_every`` batches the dimension changes are folded, so that a
     reader never folds more than that many batches.
     """
-    log = changes.parse_changes(topics.read_folder(w.spark, w.path(DB_LOG)))
+    log = changes.parse_changes(w.lines(DB_LOG))
 
     def process(batch: DataFrame, batch_id: int) -> None:
         routed = routing.route(cdc.drop_deletes(batch), w.config()).persist()
         try:
-            topic_sink.write_batch(routing.facts(routed), w.path(FACTS), batch_id)
+            w.send_batch(routing.facts(routed), FACTS, batch_id)
             w.dims.append(routing.dimensions(routed), batch_id)
         finally:
             routed.unpersist()
@@ -154,11 +183,10 @@ def start_db_routing(w: Warehouse, compact_every: int = 100):
     return start_batches(log, process, w.checkpoint(FACTS), w.every)
 
 
-def start_unique_visit(w: Warehouse):
-    kept = visits.unique_visits(w.pages()).select("value")
-    return topic_sink.start_folder(
-        kept, w.path(UNIQUE_VISIT), w.checkpoint(UNIQUE_VISIT), w.every
-    )
+def start_unique_visit(w: Warehouse, day_offset: str = "0 seconds"):
+    """``day_offset`` shifts the day from UTC to the session's zone."""
+    kept = visits.unique_visits(w.pages(), day_offset=day_offset).select("value")
+    return w.start_sending(kept, UNIQUE_VISIT)
 
 
 def start_bounce(w: Warehouse, timeout: str = "10 seconds"):
@@ -166,7 +194,7 @@ def start_bounce(w: Warehouse, timeout: str = "10 seconds"):
         "common.mid as mid", "ts", "page.last_page_id is null as entry", "value as tie", "value"
     )
     bounced = keyed.bounces(pages, timeout).select("value")
-    return topic_sink.start_folder(bounced, w.path(BOUNCE), w.checkpoint(BOUNCE), w.every)
+    return w.start_sending(bounced, BOUNCE)
 
 
 def start_order_wide(w: Warehouse, how: str = "inner"):
@@ -178,7 +206,7 @@ def start_order_wide(w: Warehouse, how: str = "inner"):
 
     def process(batch: DataFrame, batch_id: int) -> None:
         filled = wide.add_dimensions(batch, w.dimensions(), how=how)
-        topic_sink.write_batch(topic_sink.as_text(filled), w.path(ORDER_WIDE), batch_id)
+        w.send_batch(topic_sink.as_text(filled), ORDER_WIDE, batch_id)
 
     return start_batches(joined, process, w.checkpoint(ORDER_WIDE), w.every)
 
@@ -187,16 +215,14 @@ def start_payment_wide(w: Warehouse):
     joined = wide.payment_wide(
         w.fact("dwd_payment_info", schemas.PAYMENT_INFO), w.orders_wide()
     )
-    return topic_sink.start_folder(
-        topic_sink.as_text(joined), w.path(PAYMENT_WIDE), w.checkpoint(PAYMENT_WIDE), w.every
-    )
+    return w.start_sending(topic_sink.as_text(joined), PAYMENT_WIDE)
 
 
 def start_visitor_stats(w: Warehouse, width: str = "10 seconds"):
     unified = events.visitor_events(
         w.pages(),
-        _pages(topics.read_folder(w.spark, w.path(UNIQUE_VISIT))),
-        _pages(topics.read_folder(w.spark, w.path(BOUNCE))),
+        _pages(w.lines(UNIQUE_VISIT)),
+        _pages(w.lines(BOUNCE)),
     )
     return start_table(
         stats.visitor_stats(unified, width),
@@ -237,7 +263,7 @@ def start_province_stats(w: Warehouse, width: str = "10 seconds"):
 
 
 def start_keyword_stats(w: Warehouse, width: str = "10 seconds"):
-    pages = parse.page_view(w.log_topic(logs.PAGE_TOPIC))
+    pages = parse.page_view(w.lines(logs.PAGE_TOPIC))
     return start_table(
         stats.keyword_stats(pages, width),
         w.path(KEYWORD_STATS),

@@ -59,7 +59,7 @@ def start_table(
         .option("path", path)
         .option("checkpointLocation", checkpoint)
     )
-    return _start(stream.sparkSession, writer, every)
+    return start(stream.sparkSession, writer, every)
 
 
 def start_batches(
@@ -74,10 +74,11 @@ def start_batches(
     overwrite what it wrote for that id.
     """
     writer = stream.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
-    return _start(stream.sparkSession, writer, every)
+    return start(stream.sparkSession, writer, every)
 
 
-def _start(spark: SparkSession, writer, every: str | None):
+def start(spark: SparkSession, writer, every: str | None):
+    """Start a stream writer every so often, or once over the input there is."""
     trigger = {"processingTime": every} if every else {"availableNow": True}
     with session_settings(spark, STATE_SETTINGS):
         return writer.trigger(**trigger).start()

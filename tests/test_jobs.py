@@ -5,6 +5,7 @@ from datetime import date
 from decimal import Decimal
 
 import pytest
+from pyspark.errors import AnalysisException
 
 from rtdw import schemas
 from rtdw.operators import logs
@@ -233,3 +234,12 @@ def test_product_stats_and_gmv(warehouse):
         "refund_amount": Decimal("10.40"), "comment_ct": 1, "good_comment_ct": 1,
     }
     assert jobs.gmv(warehouse, date(2023, 11, 14)).first()[0] == Decimal("20.80")
+
+
+def test_topics_in_kafka_need_its_package(spark, tmp_path):
+    """Without the package all that can be seen is that Kafka is asked for."""
+    w = jobs.Warehouse(spark, str(tmp_path), servers="nowhere:9092")
+    with pytest.raises(AnalysisException, match="kafka"):
+        w.lines(logs.PAGE_TOPIC)
+    with pytest.raises(AnalysisException, match="kafka"):
+        w.send_batch(spark.createDataFrame([("x",)], "value string"), jobs.BOUNCE, 0)
