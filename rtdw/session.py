@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import contextlib
-import tempfile
 import uuid
 from collections.abc import Iterator, Mapping
 
@@ -41,8 +40,8 @@ def build_session(
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 
-    Where it is unset a local session gets a temporary folder of its own; on a
-    cluster that would be lost with a machine, so it is an error there.
+    Where that is unset, a local session uses a folder below its warehouse; on a
+    cluster it is an error, as the warehouse may be local to one machine there.
     """
     context = spark.sparkContext
     base = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
@@ -50,7 +49,7 @@ def shared_dir(spark: SparkSession) -> str:
         return base.rstrip("/")
     if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    base = tempfile.mkdtemp(prefix="rtdw-")
+    base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/.shared"
     context.setCheckpointDir(base)
     return base
 
