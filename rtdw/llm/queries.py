@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from rtdw.llm.decontamination import op5_decontamination
 from rtdw.llm.language_id import op3_language_id
+from rtdw.llm.packing import op7_packing
 from rtdw.llm.quality import op2_quality
 from rtdw.llm.simhash import op1_fingerprints
 from rtdw.llm.toxicity import op10_toxicity
@@ -13,6 +14,7 @@ QUERIES = {
     "op2_quality": op2_quality,
     "op3_language_id": op3_language_id,
     "op5_decontamination": op5_decontamination,
+    "op7_packing": op7_packing,
     "op10_toxicity": op10_toxicity,
 }
 
