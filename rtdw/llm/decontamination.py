@@ -23,8 +23,9 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from rtdw.llm.tables import stored, table, text_key, with_fields
+from rtdw.llm.tables import stored, table, text_key
 from rtdw.llm.words import pieces, split_words, texts_of, union_of_runs
 
 WINDOW = 10
@@ -78,11 +79,9 @@ def build_index(docs: DataFrame, key: str = "key", text: str = "text",
     ``docs`` holds the segment's documents with their numbers of words, ``starts`` their
     first positions.
     """
-    kind = docs.schema[key].dataType
-    schema = with_fields(
-        "segment long, starts binary, terms binary, ends binary, deltas binary",
-        {"docs": docs.select(F.array(F.struct(F.col(key), F.lit(0).cast("long").alias("n_words")))).schema[0].dataType},
-    )
+    each = F.struct(F.col(key), F.lit(0).cast("long").alias("n_words"))
+    packed = "segment long, starts binary, terms binary, ends binary, deltas binary"
+    schema = T.StructType.fromDDL(packed).add(docs.select(F.array(each).alias("docs")).schema[0])
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
@@ -115,8 +114,7 @@ def build_index(docs: DataFrame, key: str = "key", text: str = "text",
                 yield pa.RecordBatch.from_arrays(values, schema.names)
                 number += 1
 
-    docs = docs.select(F.col(key).cast(kind).alias(key), F.col(text).cast("string").alias(text))
-    return docs.mapInArrow(build, schema)
+    return docs.select(key, F.col(text).cast("string").alias(text)).mapInArrow(build, schema)
 
 
 def term_counts(index: DataFrame, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rtdw.llm.tables import stored, table, with_fields
+from rtdw.llm.tables import extended, stored, table
 from rtdw.llm.words import Texts, mixed, pieces
 
 BUCKETS = 1 << 15
@@ -113,8 +113,7 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], keep: list[str
     """
     names, matrix = model
     sent = docs.sparkSession.sparkContext.broadcast(matrix)
-    schema = with_fields("", {}) if not keep else docs.select(*keep).schema
-    schema = schema.add("lang_pred", "string").add("score", "double")
+    schema = extended(docs.select(*keep).schema, "lang_pred string, score double")
     choices = pa.array([*names, "und"], pa.string())
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rtdw.llm.tables import stored, table
+from rtdw.llm.tables import extended, stored, table
 from rtdw.llm.words import pieces
 
 CAPACITY = 2048
@@ -100,10 +100,8 @@ def token_pieces(docs: DataFrame, keep: list[str], vocabulary: str, text: str =
     A document's ids are those of its whole text and ``END``; only longer ones than the
     capacity are cut. A null text is an empty one, whose only id is ``END``.
     """
-    schema = docs.select(*keep).schema.add("piece", "int").add("start", "long")
-    schema = schema.add("length", "long").add("ids_crc32", "long")
-    if ids:
-        schema = schema.add("ids", "array<int>")
+    more = "piece int, start long, length long, ids_crc32 long"
+    schema = extended(docs.select(*keep).schema, more + ", ids array<int>" * ids)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(vocabulary)

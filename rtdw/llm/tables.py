@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,17 +35,6 @@ def text_key(text: str = "text") -> F.Column:
     return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
 
 
-def with_fields(schema: str, fields: Mapping[str, T.DataType]) -> T.StructType:
-    """A schema string followed by fields of given types."""
-    out = T.StructType.fromDDL(schema)
-    for name, kind in fields.items():
-        out = out.add(name, kind)
-    return out
-
-
-def free_name(df: DataFrame, name: str) -> str:
-    """The name, with underscores in front while the frame has such a column."""
-    taken = {column.lower() for column in df.columns}
-    while name.lower() in taken:
-        name = f"_{name}"
-    return name
+def extended(schema: T.StructType, ddl: str) -> T.StructType:
+    """A schema followed by the columns of a schema string."""
+    return T.StructType([*schema.fields, *T.StructType.fromDDL(ddl).fields])

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rtdw.llm.logistic import bounded_sample, fit_logistic, margin, probability
-from rtdw.llm.tables import stored, table
+from rtdw.llm.tables import extended, stored, table
 
 #: Labelled documents that the model is fitted on, at most about this many.
 MAX_LABELLED = 40_000
@@ -191,9 +191,8 @@ class Finder:
 def match_statistics(docs: DataFrame, keep: list[str], words: list[str], stems: list[str],
                      text: str = "text") -> DataFrame:
     """The kept columns and, of each whole text, log counts of matches by kind and density."""
-    schema = docs.select(*keep).schema
-    for name in FEATURES:
-        schema = schema.add(name, "double")
+    more = ", ".join(f"{name} double" for name in FEATURES)
+    schema = extended(docs.select(*keep).schema, more)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finder = Finder(words, stems)
