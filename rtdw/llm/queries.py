@@ -8,12 +8,14 @@ from rtdw.llm.packing import op7_packing
 from rtdw.llm.quality import op2_quality
 from rtdw.llm.simhash import op1_fingerprints
 from rtdw.llm.toxicity import op10_toxicity
+from rtdw.llm.warc import op6_warc
 
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_quality": op2_quality,
     "op3_language_id": op3_language_id,
     "op5_decontamination": op5_decontamination,
+    "op6_warc": op6_warc,
     "op7_packing": op7_packing,
     "op10_toxicity": op10_toxicity,
 }
