@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from rtdw.llm.decontamination import op5_decontamination
+from rtdw.llm.jaccard import op4_jaccard
 from rtdw.llm.language_id import op3_language_id
 from rtdw.llm.packing import op7_packing
 from rtdw.llm.quality import op2_quality
@@ -14,6 +15,7 @@ QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_quality": op2_quality,
     "op3_language_id": op3_language_id,
+    "op4_jaccard": op4_jaccard,
     "op5_decontamination": op5_decontamination,
     "op6_warc": op6_warc,
     "op7_packing": op7_packing,
