@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from corpus_pipeline import ORACLE_SQL, run
+from rtdw.llm.chat import OP9_SQL, op9_preferences
 from rtdw.llm.decontamination import op5_decontamination
 from rtdw.llm.jaccard import op4_jaccard
 from rtdw.llm.language_id import op3_language_id
 from rtdw.llm.packing import op7_packing
 from rtdw.llm.quality import op2_quality
+from rtdw.llm.repeats import op8_repeats
 from rtdw.llm.simhash import op1_fingerprints
 from rtdw.llm.toxicity import op10_toxicity
 from rtdw.llm.warc import op6_warc
@@ -19,7 +22,12 @@ QUERIES = {
     "op5_decontamination": op5_decontamination,
     "op6_warc": op6_warc,
     "op7_packing": op7_packing,
+    "op8_repeats": op8_repeats,
+    "op9_preferences": op9_preferences,
     "op10_toxicity": op10_toxicity,
+    "pipeline": run,
 }
 
-CHECKS: dict[str, str] = {}
+CHECKS: dict[str, str] = {"op9_preferences": OP9_SQL}
+if ORACLE_SQL:
+    CHECKS["pipeline"] = ORACLE_SQL
