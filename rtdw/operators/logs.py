@@ -57,11 +57,13 @@ def fix_new_visitor(
 ) -> DataFrame:
     """Per device only the first row flagged ``'1'`` keeps the flag; later ones get ``'0'``.
 
-    ``order`` must tell the rows of a device apart. The first row per device is
+    ``order`` must tell different rows of a device apart; rows equal in it are
+    copies of one line, of which one keeps the flag. The first row per device is
     taken with a ranked filter, which Spark applies before the shuffle as well,
     and joined back on the whole row identity: that key is spread evenly even
-    if one device holds a large share of all rows. Rows without the flag are not
-    shuffled at all.
+    if one device holds a large share of all rows. Copies are counted, partly
+    before they move. Rows without the flag are not shuffled at all. Missing
+    order values come first.
     """
     first = Window.partitionBy(mid).orderBy(*order)
     identity = (mid, *order)
@@ -72,20 +74,50 @@ def fix_new_visitor(
         .where("__rank = 1")
         .selectExpr(*[f"{c} as __first_{c}" for c in identity])
     )
-    same_row = " and ".join(f"{c} = __first_{c}" for c in identity)
-    fixed = flagged.join(firsts, F.expr(same_row), "left").selectExpr(
-        *[
-            f"if(__first_{mid} is null, '0', {is_new}) as {is_new}" if c == is_new else c
-            for c in df.columns
-        ]
+    same_row = F.expr(" and ".join(f"{c} <=> __first_{c}" for c in identity))
+    others = [c for c in df.columns if c not in identity]
+    lowered = [f"'0' as {is_new}" if c == is_new else c for c in df.columns]
+    later = flagged.join(firsts, same_row, "left_anti").selectExpr(*lowered)
+    copies = (
+        flagged.join(firsts, same_row, "left_semi")
+        .groupBy(*identity)
+        .agg(F.any_value(F.struct(*others)).alias("__row"), F.count("*").alias("__copies"))
+        .selectExpr(*identity, "__row.*", "explode(sequence(1L, __copies)) as __copy")
+        .selectExpr(
+            *[f"if(__copy = 1, {c}, '0') as {c}" if c == is_new else c for c in df.columns]
+        )
     )
-    return fixed.unionByName(df.where(f"{is_new} is distinct from '1'"))
+    rest = df.where(f"{is_new} is distinct from '1'")
+    return later.unionByName(copies).unionByName(rest)
+
+
+# A flag that is set, as text or as a number, wherever it stands in a line.
+_FLAG = r'"is_new"\s*:\s*(?:"1"|1(?=\s*[,}]))'
 
 
 def with_flag(value: Column, is_new: Column) -> Column:
-    """The log text with its new-visitor flag set, all other fields untouched."""
-    lowered = F.regexp_replace(value, r'("is_new"\s*:\s*)"1"', '$1"0"')
-    return F.when(is_new == "0", lowered).otherwise(value)
+    """The log text with its new-visitor flag lowered where ``is_new`` is ``'0'``.
+
+    Only ``is_new`` of ``common`` changes, all other text stays as it is: of the
+    places where a flag is set, the one is changed that makes the parsed flag
+    ``'0'``. A line whose flag is not set stays as it is.
+    """
+    between = F.split(value, _FLAG)
+    flags = F.regexp_extract_all(value, F.lit(_FLAG), F.lit(0))
+
+    def with_lowered(k: Column) -> Column:
+        def piece(text: Column, i: Column) -> Column:
+            flag = F.coalesce(F.get(flags, i), F.lit(""))
+            lowered = F.regexp_replace(flag, r'(?:"1"|1)$', '"0"')
+            return F.concat(text, F.when(i == k, lowered).otherwise(flag))
+
+        return F.array_join(F.transform(between, piece), "")
+
+    tried = F.transform(F.sequence(F.lit(0), F.size(flags) - 1), with_lowered)
+    right = F.filter(tried, lambda text: F.get_json_object(text, "$.common.is_new") == "0")
+    is_set = F.get_json_object(value, "$.common.is_new") == "1"
+    change = (is_new == "0") & is_set & (F.size(flags) > 0)
+    return F.when(change, F.coalesce(F.get(right, F.lit(0)), value)).otherwise(value)
 
 
 # One display with its page's id, as a map.

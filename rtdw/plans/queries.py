@@ -13,7 +13,6 @@ from rtdw.plans import standin
 from rtdw.plans.standin import table
 from rtdw.schemas import MONEY_SUM, ORDER_INFO, PRODUCT_STATS, struct
 from rtdw.sinks.topics import as_text
-from rtdw.sources.tables import spread
 from rtdw.sources.topics import records
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,7 +39,7 @@ def _page_log(spark, d):
 
 
 def _order_detail(spark, d):
-    return standin.order_detail(spread(table(spark, d, "lineitem")))
+    return standin.order_detail(table(spark, d, "lineitem"))
 
 
 def _order_wide(spark, d):

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from rtdw.operators.wide import as_record
 from rtdw.schemas import ORDER_DETAIL, ORDER_INFO, PAYMENT_INFO, struct
 from rtdw.sources.rows import literal_table
-from rtdw.sources.tables import read_table, spread
+from rtdw.sources.tables import read_table
 
 # Parameters of the sample runs: events are hours apart and ship dates months
 # from their orders, so windows and intervals are wider than the shop's.
@@ -118,13 +118,13 @@ RECORD_TEXT = "to_json(struct(common, page, displays, start, ts)) as value"
 
 def raw_log(source: DataFrame, conversations: DataFrame) -> DataFrame:
     """Log lines as text; conversation turns are the lines that are not records."""
-    lines = log_records(spread(source)).selectExpr(RECORD_TEXT)
+    lines = log_records(source).selectExpr(RECORD_TEXT)
     return lines.unionByName(conversations.selectExpr("text as value"))
 
 
 def search_pages(documents: DataFrame, source: DataFrame) -> DataFrame:
     """Pages for the keyword job: each document is a searched text, events are other pages."""
-    searched = spread(documents).selectExpr(
+    searched = documents.selectExpr(
         "map('item_type', 'keyword', 'item', text) as page",
         f"doc_id * 60000 + {FIRST_DOCUMENT_MS} as ts",
     )

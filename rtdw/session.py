@@ -17,6 +17,7 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.files.minPartitionNum": "8",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -59,6 +60,21 @@ def fresh_dir(spark: SparkSession, purpose: str) -> str:
     return f"{shared_dir(spark)}/rtdw/{purpose}-{uuid.uuid4().hex}"
 
 
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Delete a folder of any store that Spark reads, and all below it."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def listed_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """The paths that match a pattern, in any store that Spark reads."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(pattern)
+    store = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(found.getPath().toString() for found in store.globStatus(place) or [])
+
+
 @contextlib.contextmanager
 def session_settings(spark: SparkSession, settings: Mapping[str, str]) -> Iterator[None]:
     """Set run-time settings for a block and put the old values back."""

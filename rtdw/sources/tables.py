@@ -9,16 +9,3 @@ from pyspark.sql import types as T
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A Parquet table of known columns, so no file is opened to find them."""
     return spark.read.schema(schema).parquet(path)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """The rows in at least as many partitions as there are cores.
-
-    For costly row-wise work on a table that is too small to be read by more
-    than a few tasks. A table with enough splits is returned as it is, without
-    a shuffle.
-    """
-    if df.isStreaming:
-        return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

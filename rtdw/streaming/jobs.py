@@ -183,15 +183,16 @@ def start_db_routing(w: Warehouse, compact_every: int = 100):
     return start_batches(log, process, w.checkpoint(FACTS), w.every)
 
 
-def start_unique_visit(w: Warehouse, day_offset: str = "0 seconds"):
-    """``day_offset`` shifts the day from UTC to the session's zone."""
-    kept = visits.unique_visits(w.pages(), day_offset=day_offset).select("value")
+def start_unique_visit(w: Warehouse):
+    """Days are those of the session's time zone, as in the stored form."""
+    kept = visits.unique_visits(w.pages()).select("value")
     return w.start_sending(kept, UNIQUE_VISIT)
 
 
 def start_bounce(w: Warehouse, timeout: str = "10 seconds"):
     pages = w.pages().selectExpr(
-        "common.mid as mid", "ts", "page.last_page_id is null as entry", "value as tie", "value"
+        "common.mid as mid", "ts", "page.last_page_id is null as entry",
+        "hex(xxhash64(value)) as tie", "value",
     )
     bounced = keyed.bounces(pages, timeout).select("value")
     return w.start_sending(bounced, BOUNCE)

@@ -41,7 +41,9 @@ class FirstFlag(StatefulProcessor):
         for batch in rows:
             if first is not None:
                 batch = pd.concat([first, batch])
-            batch = batch.sort_values(self.order, kind="stable", ignore_index=True)
+            batch = batch.sort_values(
+                self.order, kind="stable", ignore_index=True, na_position="first"
+            )
             first = batch.iloc[:1]
             if len(batch) > 1:
                 yield batch.iloc[1:].assign(**{self.flag: "0"})
@@ -91,10 +93,13 @@ class EntryTimeout(StatefulProcessor):
     """Reports entry rows whose next row is an entry or does not come in time.
 
     Rows wait until the watermark has passed their timeout, then their order is
-    final. State holds the device's rows of one timeout plus the lateness, and
+    final and they go, whatever their kind: a timer is set for the oldest row
+    held. So state holds the device's rows of one timeout plus the lateness, and
     the text of entry rows only.
     """
 
+    COLUMNS = ("ts", "tie", "entry", "value")
+
     def __init__(self, timeout_ms: int) -> None:
         self.timeout = timeout_ms
 
@@ -105,44 +110,34 @@ class EntryTimeout(StatefulProcessor):
         )
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        due = None
+        oldest = None
         for batch in rows:
-            held = [
-                (int(ts), str(tie), bool(entry), value if entry else None)
-                for ts, tie, entry, value in zip(
-                    batch["ts"], batch["tie"], batch["entry"], batch["value"]
-                )
-            ]
-            self.waiting.appendList(held)
-            entries = batch.loc[batch["entry"].astype(bool), "ts"]
-            if len(entries):
-                low = int(entries.min()) + self.timeout
-                due = low if due is None else min(due, low)
-        if due is not None:
-            self.handle.registerTimer(due)
+            held = batch[list(self.COLUMNS)].astype({"ts": "int64", "entry": "bool"})
+            held["value"] = held["value"].where(held["entry"], None)
+            self.waiting.appendList(list(held.astype(object).itertuples(index=False, name=None)))
+            low = int(held["ts"].min())
+            oldest = low if oldest is None else min(oldest, low)
+        if oldest is not None:
+            self.handle.registerTimer(oldest + self.timeout)
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         watermark = timerValues.getCurrentWatermarkInMs()
-        rows = sorted(self.waiting.get(), key=lambda row: (row[0], row[1]))
-        reported, kept = [], []
-        for row, successor in zip(rows, rows[1:] + [None]):
-            ts, _, entry, value = row
-            if ts + self.timeout > watermark:
-                kept.append(tuple(row))
-            elif entry and (
-                successor is None or successor[0] - ts >= self.timeout or successor[2]
-            ):
-                reported.append((key[0], ts, value))
-        if kept:
-            self.waiting.put(kept)
-            open_entries = [row[0] for row in kept if row[2]]
-            if open_entries:
-                self.handle.registerTimer(min(open_entries) + self.timeout)
+        rows = pd.DataFrame(list(self.waiting.get()), columns=list(self.COLUMNS))
+        rows = rows.sort_values(["ts", "tie"], kind="stable", ignore_index=True)
+        following = rows.shift(-1)
+        alone = (following["ts"].isna() | (following["ts"] - rows["ts"] >= self.timeout)
+                 | following["entry"].eq(True))
+        done = rows["ts"] + self.timeout <= watermark
+        kept = rows[~done]
+        if len(kept):
+            self.waiting.put(list(kept.astype(object).itertuples(index=False, name=None)))
+            self.handle.registerTimer(int(kept["ts"].iloc[0]) + self.timeout)
         else:
             self.waiting.clear()
-        if reported:
-            yield pd.DataFrame(reported, columns=["mid", "ts", "value"])
+        reported = rows[done & rows["entry"].astype(bool) & alone]
+        if len(reported):
+            yield reported[["ts", "value"]].assign(mid=key[0])[["mid", "ts", "value"]]
 
     def close(self) -> None:
         pass

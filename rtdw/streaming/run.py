@@ -6,31 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rtdw.session import fresh_dir, session_settings
+from rtdw.session import fresh_dir, remove_dir, session_settings
 from rtdw.streaming.keyed import STATE_SETTINGS
 
 
-def state_partitions(spark: SparkSession) -> int:
-    """The session's shuffle partitions, but at most four per core.
-
-    Each partition of each stateful step is a store of its own, and their number
-    stays fixed for the life of a query, so it is chosen for the cluster.
-    """
-    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return min(wanted, 4 * spark.sparkContext.defaultParallelism)
-
-
 def run_to_table(spark: SparkSession, stream: DataFrame, purpose: str) -> DataFrame:
     """Process all input there is now, append to a new Parquet table and read it back.
 
     Rows still held by open windows or timers stay in the query's state, as they
-    would in a running job.
+    would in a running job. The state has as many partitions as the session
+    shuffles into; the checkpoint is removed at the end.
     """
     table, checkpoint = fresh_dir(spark, purpose), fresh_dir(spark, f"{purpose}-checkpoint")
-    settings = {
-        **STATE_SETTINGS, "spark.sql.shuffle.partitions": str(state_partitions(spark))
-    }
-    with session_settings(spark, settings):
+    with session_settings(spark, STATE_SETTINGS):
         (
             stream.writeStream.format("parquet")
             .outputMode("append")
@@ -40,6 +28,7 @@ def run_to_table(spark: SparkSession, stream: DataFrame, purpose: str) -> DataFr
             .start()
             .awaitTermination()
         )
+    remove_dir(spark, checkpoint)
     return spark.read.schema(stream.schema).parquet(table)
 
 

@@ -14,20 +14,21 @@ def unique_visits(
     visits: str = "non_entry",
     last_page: str = LAST_PAGE,
     lateness: str = "2 seconds",
-    day_offset: str = "0 seconds",
+    parts: int = 16,
 ) -> DataFrame:
-    """The first counted row to arrive per device and day.
+    """The first counted row to arrive per device and day of the session's time zone.
 
-    The day is a one-day window, so its state goes when the watermark passes
-    the end of the day. ``day_offset`` shifts the day from UTC, e.g. ``'16
-    hours'`` for a zone eight hours ahead.
+    The watermark runs on the days, one day behind plus ``lateness``, so a day's
+    state goes when it can get no more rows. Rows are first reduced within
+    ``parts`` parts of a device and day, so a busy device is spread over tasks.
     """
+    time = F.timestamp_millis(F.col(ts))
     dated = (
         pages.where(visit_condition(visits, last_page))
-        .withColumn("__rt", F.timestamp_millis(F.col(ts)))
-        .withWatermark("__rt", lateness)
+        .withColumn("__day", F.date_trunc("DAY", time))
+        .withWatermark("__day", f"1 day {lateness}")
         .withColumn("__mid", F.col(mid))
-        .withColumn("__day", F.window("__rt", "1 day", "1 day", day_offset))
-        .drop("__rt")
+        .withColumn("__part", F.pmod(F.xxhash64(F.col(ts), F.col(mid)), F.lit(parts)))
     )
-    return dated.dropDuplicates(["__mid", "__day"]).drop("__mid", "__day")
+    once = dated.dropDuplicates(["__mid", "__day", "__part"])
+    return once.dropDuplicates(["__mid", "__day"]).drop("__mid", "__day", "__part")

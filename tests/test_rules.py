@@ -65,6 +65,26 @@ def test_flag_is_changed_in_the_text_only_where_it_is_a_key(spark):
     assert kept == line
 
 
+def test_flag_of_common_only_and_as_a_number(spark):
+    cases = {
+        '{"page":{"is_new":"1"},"common":{"mid":"m","is_new": 1}}':
+            '{"page":{"is_new":"1"},"common":{"mid":"m","is_new": "0"}}',
+        '{"common":{"is_new":"1"},"page":{"is_new":"1"}}': '{"common":{"is_new":"0"},"page":{"is_new":"1"}}',
+        '{"common":{"is_new":10}}': '{"common":{"is_new":10}}',
+        '{"common":{"mid":"m"},"page":{"is_new":1}}': '{"common":{"mid":"m"},"page":{"is_new":1}}',
+    }
+    for line, want in cases.items():
+        assert lines(spark, line).select(logs.with_flag(F.col("value"), F.lit("0"))).first()[0] == want
+
+
+def test_one_flag_stays_for_missing_times_and_equal_lines(spark):
+    rows = [("a", None, "x"), ("a", 5, "y"), ("b", 3, "z"), ("b", 3, "z"), ("b", 3, "z"), ("c", None, "q"), ("c", None, "q")]
+    df = spark.createDataFrame([(*r, "1") for r in rows], "mid string, ts long, line_id string, is_new string")
+    fixed = logs.fix_new_visitor(df, order=("ts", "line_id")).collect()
+    kept = sorted((r["mid"], r["ts"] is None) for r in fixed if r["is_new"] == "1")
+    assert len(fixed) == len(rows) and kept == [("a", True), ("b", False), ("c", True)]
+
+
 def test_new_visitor(spark):
     rows = [("m1", f, i) for i, f in enumerate("1101")] + [("m2", f, i) for i, f in enumerate("011")]
     df = spark.createDataFrame(rows, "mid string, is_new string, ts bigint")

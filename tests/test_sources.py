@@ -9,7 +9,7 @@ from rtdw import schemas
 from rtdw.operators import cdc
 from rtdw.sources import changes, dims
 from rtdw.sources.rows import literal_table
-from rtdw.sources.tables import read_table, spread
+from rtdw.sources.tables import read_table
 from rtdw.sources.topics import records
 
 RAW = {"topic": "srv.shop.base_trademark", "op": "c", "before": None, "after": {"id": 1, "tm_name": "a"}, "seq": 5}
@@ -70,11 +70,3 @@ def test_records_accept_numbers_and_text(spark):
 def test_literal_table_quotes_its_values(spark):
     got = literal_table(spark, "a string, b string", [("it's", "a\\b"), ("x", "")]).collect()
     assert sorted(tuple(r) for r in got) == [("it's", "a\\b"), ("x", "")]
-
-
-def test_spread_keeps_rows_and_leaves_wide_scans_alone(spark, sf_dir):
-    small = read_table(spark, f"{sf_dir}/nation.parquet", schemas.struct("n_nationkey int, n_name string"))
-    assert spread(small).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert sorted(spread(small).collect()) == sorted(small.collect())
-    wide = spark.range(0, 10, 1, 64)
-    assert spread(wide) is wide
