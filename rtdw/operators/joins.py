@@ -104,6 +104,27 @@ def enrich(
     return joined.selectExpr(*kept, *added)
 
 
+PRODUCT_NAMES = (
+    "sku_name", "spu_id", "spu_name", "tm_id", "tm_name", "category3_id", "category3_name",
+)
+
+
+def product_dimension(dims: Mapping[str, DataFrame], how: str = "inner") -> DataFrame:
+    """The products with the names of their SPU, trademark and category.
+
+    With ``inner`` a product that lacks one of these is left out, as a fact of it would be.
+    """
+    products = dims["sku"]
+    steps = (
+        ("spu", "spu_id", {"spu_name": "spu_name"}),
+        ("trademark", "tm_id", {"tm_name": "tm_name"}),
+        ("category3", "category3_id", {"category3_name": "name"}),
+    )
+    for dim, key, columns in steps:
+        products = enrich(products, dims[dim], key, columns, how=how)
+    return products
+
+
 def lookup(dim: DataFrame, keys: DataFrame, key: str, dim_key: str = "id") -> DataFrame:
     """The dimension rows asked for by a table of ids, each once."""
     asked = keys.select(F.col(key).cast(dim.schema[dim_key].dataType).alias("__asked"))

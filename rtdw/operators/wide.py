@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
 from rtdw.functions.times import age_years, text_to_ts, time_parts
-from rtdw.operators.joins import enrich, interval_join
+from rtdw.operators.joins import PRODUCT_NAMES, enrich, interval_join, product_dimension
 from rtdw.schemas import ORDER_WIDE, PAYMENT_WIDE
 
 # Which side of the order/detail join each wide column comes from.
@@ -80,8 +80,9 @@ def add_dimensions(
 ) -> DataFrame:
     """Fill the dimension columns of an order wide table.
 
-    ``dims`` holds user, province, sku, spu, trademark and category3. SKU comes
-    before the three lookups that use its keys.
+    ``dims`` holds user, province, sku, spu, trademark and category3. The four
+    product dimensions are joined with each other first, so the facts are
+    shuffled for three lookups, not for six.
     """
     steps = (
         ("user", "user_id", {
@@ -89,13 +90,9 @@ def add_dimensions(
         ("province", "province_id", {
             "province_name": "name", "province_area_code": "area_code",
             "province_iso_code": "iso_code", "province_3166_2_code": "iso_3166_2"}),
-        ("sku", "sku_id", {
-            "sku_name": "sku_name", "spu_id": "spu_id", "tm_id": "tm_id",
-            "category3_id": "category3_id"}),
-        ("spu", "spu_id", {"spu_name": "spu_name"}),
-        ("trademark", "tm_id", {"tm_name": "tm_name"}),
-        ("category3", "category3_id", {"category3_name": "name"}),
+        ("product", "sku_id", {c: c for c in PRODUCT_NAMES}),
     )
+    dims = {**dims, "product": product_dimension(dims, how)}
     for dim, key, columns in steps:
         wide = enrich(wide, dims[dim], key, columns, how=how)
     return wide

@@ -462,62 +462,21 @@ SELECT event_id, ts, mid, is_new FROM fixed""",
     "stream_unique_visit": f"""{_with(LOG)}
 SELECT DISTINCT mid, strftime(make_timestamp(ts * 1000), '%Y-%m-%d') AS day
 FROM page WHERE last_page_id IS NOT NULL""",
-    "stream_bounce_detail": f"""{_with(LOG, BOUNCE)}
-SELECT event_id, mid, ts FROM bounce
-WHERE ts + {6 * HOUR_MS} <= (SELECT max(ts) - 2000 FROM page)""",
-    "stream_order_wide": f"""{_with(ORDER)}
-SELECT detail_id, order_id, sku_id, order_price, sku_num, province_id, order_status, user_id,
-       total_amount, split_total_amount, create_time, create_hour
-FROM order_wide""",
-    "stream_payment_wide": f"""{_with(ORDER)}
-SELECT p.id AS payment_id, p.order_id, p.user_id, p.total_amount,
-       p.create_time AS payment_create_time, o.create_time AS order_create_time, o.order_status
-FROM payment_info p JOIN order_info o ON p.order_id = o.id
- AND strptime(o.create_time, {SECOND})
-     BETWEEN strptime(p.create_time, {SECOND}) - INTERVAL 15 MINUTE
-         AND strptime(p.create_time, {SECOND})""",
     "stream_page_stats": f"""{_with(LOG)}
 SELECT {_window('ts', HOUR_MS)}, vc, ch, ar, is_new, CAST(0 AS BIGINT) AS uv_ct,
        count(*) AS pv_ct,
        CAST(sum(CASE WHEN last_page_id IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS sv_ct,
        CAST(0 AS BIGINT) AS uj_ct, CAST(sum(during_time) AS BIGINT) AS dur_sum, min(ts) AS ts
 FROM page
-WHERE (ts // {HOUR_MS} + 1) * {HOUR_MS} <= (SELECT max(ts) - 16000 FROM page)
 GROUP BY stt, edt, vc, ch, ar, is_new""",
-    "stream_product_stats": f"""{_with(LOG, ORDER, PRODUCT_EVENT, PRODUCT_STAT)},
-fed AS (
-  SELECT ts FROM product_event WHERE order_id IS NULL AND paid_order_id IS NULL),
-fed_stat AS (
-  SELECT {_window('ts', DAY_MS)}, sku_id, min(ts) AS ts,
-         CAST(sum(display_ct) AS BIGINT) AS display_ct, CAST(sum(click_ct) AS BIGINT) AS click_ct,
-         CAST(sum(favor_ct) AS BIGINT) AS favor_ct, CAST(sum(cart_ct) AS BIGINT) AS cart_ct,
-         count(DISTINCT refund_order_id) AS refund_order_ct,
-         CAST(sum(refund_amount) AS DECIMAL(26,2)) AS refund_amount,
-         CAST(sum(comment_ct) AS BIGINT) AS comment_ct,
-         CAST(sum(good_comment_ct) AS BIGINT) AS good_comment_ct
-  FROM product_event WHERE order_id IS NULL AND paid_order_id IS NULL
-    AND (ts // {DAY_MS} + 1) * {DAY_MS} <= (SELECT max(ts) - 2000 FROM fed)
-  GROUP BY stt, edt, sku_id)
-SELECT * FROM fed_stat""",
-    "stream_province_stats": f"""{_with(ORDER, DIM)}
-SELECT {_window(_millis('create_time'), DAY_MS)}, province_id, name AS province_name,
-       area_code AS province_area_code, iso_code AS province_iso_code,
-       iso_3166_2 AS province_3166_2_code,
-       CAST(sum(total_amount) AS DECIMAL(26,2)) AS order_amount, count(*) AS order_count
-FROM order_info o JOIN dim_province v ON province_id = v.id
-WHERE ({_millis('create_time')} // {DAY_MS} + 1) * {DAY_MS}
-      <= (SELECT max({_millis('create_time')}) - 2000 FROM order_info)
-GROUP BY ALL""",
-    "stream_keyword_stats": f"""{_with(LOG)},
-word AS (
-  SELECT doc_id * 60000 + {FIRST_DOCUMENT_MS} AS ts,
-         unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+')) AS keyword
-  FROM documents)
-SELECT keyword, count(*) AS ct, 'search' AS source, {_window('ts', HOUR_MS)}
-FROM word
-WHERE (ts // {HOUR_MS} + 1) * {HOUR_MS} <= (SELECT max(ts) - 2000 FROM word)
-GROUP BY ALL""",
 }
+CHECKS["stream_bounce_detail"] = CHECKS["bounce_detail"]
+CHECKS["stream_order_wide"] = CHECKS["order_wide"]
+CHECKS["stream_payment_wide"] = CHECKS["payment_wide"]
+CHECKS["stream_visitor_stats"] = CHECKS["visitor_stats"]
+CHECKS["stream_product_stats"] = CHECKS["product_stats"]
+CHECKS["stream_province_stats"] = CHECKS["province_stats"]
+CHECKS["stream_keyword_stats"] = CHECKS["keyword_count"]
 CHECKS["stream_log_split"] = CHECKS["log_split_counts"]
 CHECKS["stream_route_facts"] = CHECKS["route_fact_payload"]
 CHECKS["stream_dim_upsert"] = f"""{_with(CHANGE)}

@@ -12,6 +12,7 @@ from rtdw.operators import cdc, events, joins, logs, parse, routing, stats, visi
 from rtdw.plans import standin
 from rtdw.plans.standin import table
 from rtdw.schemas import MONEY_SUM, ORDER_INFO, PRODUCT_STATS, struct
+from rtdw.session import fresh_dir
 from rtdw.sinks.topics import as_text
 from rtdw.sources.topics import records
 
@@ -51,10 +52,17 @@ def _order_wide(spark, d):
     )
 
 
-def _payment_wide(spark, d):
+def _order_wide_table(spark, d):
+    """Order wide written once, as the table between the layers, for several readers."""
+    path, rows = fresh_dir(spark, "order-wide"), _order_wide(spark, d)
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+def _payment_wide(spark, d, orders_wide):
     return wide.payment_wide(
         standin.payment_info(table(spark, d, "orders")),
-        _order_wide(spark, d),
+        orders_wide,
         standin.PAY_LOWER,
         standin.PAY_UPPER,
     )
@@ -62,11 +70,12 @@ def _payment_wide(spark, d):
 
 def _product_events(spark, d):
     source, lineitem = table(spark, d, "events"), table(spark, d, "lineitem")
+    orders_wide = _order_wide_table(spark, d)
     return events.product_events(
         _page_log(spark, d),
         standin.favor_info(source),
-        _order_wide(spark, d),
-        _payment_wide(spark, d),
+        orders_wide,
+        _payment_wide(spark, d, orders_wide),
         standin.refund_info(lineitem),
         standin.cart_info(source),
         standin.comment_info(source),
@@ -197,22 +206,26 @@ def bounce_detail(spark, d):
 # Wide tables and dimensions
 
 
+ORDER_COLUMNS = (
+    "detail_id", "order_id", "sku_id", "order_price", "sku_num", "province_id",
+    "order_status", "user_id", "total_amount", "activity_reduce_amount",
+    "split_coupon_amount", "split_total_amount", "create_time", "create_date", "create_hour",
+)
+PAYMENT_COLUMNS = (
+    "payment_id", "subject", "payment_type", "payment_create_time", "detail_id", "order_id",
+    "sku_id", "order_price", "sku_num", "province_id", "order_status", "user_id",
+    "total_amount", "split_total_amount", "order_create_time",
+)
+
+
 @query
 def order_wide(spark, d):
-    return _order_wide(spark, d).select(
-        "detail_id", "order_id", "sku_id", "order_price", "sku_num", "province_id",
-        "order_status", "user_id", "total_amount", "activity_reduce_amount",
-        "split_coupon_amount", "split_total_amount", "create_time", "create_date", "create_hour",
-    )
+    return _order_wide(spark, d).select(*ORDER_COLUMNS)
 
 
 @query
 def payment_wide(spark, d):
-    return _payment_wide(spark, d).select(
-        "payment_id", "subject", "payment_type", "payment_create_time", "detail_id", "order_id",
-        "sku_id", "order_price", "sku_num", "province_id", "order_status", "user_id",
-        "total_amount", "split_total_amount", "order_create_time",
-    )
+    return _payment_wide(spark, d, _order_wide(spark, d)).select(*PAYMENT_COLUMNS)
 
 
 @query
@@ -308,14 +321,19 @@ def product_events_unified(spark, d):
     return _product_events(spark, d)
 
 
+_SUM = MONEY_SUM.simpleString()
+PRODUCT_COLUMNS = (
+    "stt", "edt", "sku_id", "display_ct", "click_ct", "favor_ct", "cart_ct", "order_sku_num",
+    f"cast(order_amount as {_SUM}) as order_amount", "order_ct",
+    f"cast(payment_amount as {_SUM}) as payment_amount", "paid_order_ct", "refund_order_ct",
+    f"cast(refund_amount as {_SUM}) as refund_amount", "comment_ct", "good_comment_ct", "ts",
+)
+
+
 @query
 def product_stats(spark, d):
-    return stats.product_measures(_product_events(spark, d), standin.DAY).select(
-        "stt", "edt", "sku_id", "display_ct", "click_ct", "favor_ct", "cart_ct", "order_sku_num",
-        F.col("order_amount").cast(MONEY_SUM), "order_ct",
-        F.col("payment_amount").cast(MONEY_SUM), "paid_order_ct", "refund_order_ct",
-        F.col("refund_amount").cast(MONEY_SUM), "comment_ct", "good_comment_ct", "ts",
-    )
+    measured = stats.product_measures(_product_events(spark, d), standin.DAY)
+    return measured.selectExpr(*PRODUCT_COLUMNS)
 
 
 @query

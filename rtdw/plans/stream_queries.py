@@ -1,20 +1,26 @@
 """The operators as streaming jobs over the sample tables.
 
 A run reads a table as a stream, processes all of it and returns what was
-appended. Windows the watermark has not passed stay open, so the check SQL
-leaves them out too.
+appended. A row far ahead of all others comes along, which closes the windows
+of the table's last rows; its own window stays open. Jobs that read other jobs'
+results read them as tables, as the running jobs do.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from datetime import UTC, datetime
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
-from rtdw.functions import times
 from rtdw.operators import cdc, events, joins, routing, stats, wide
+from rtdw.operators import visits as stored_visits
 from rtdw.plans import standin
-from rtdw.plans.queries import query, topic_counts
+from rtdw.plans.queries import (
+    ORDER_COLUMNS, PAYMENT_COLUMNS, PRODUCT_COLUMNS, query, topic_counts,
+)
 from rtdw.plans.standin import TABLES, table
-from rtdw.schemas import MONEY_SUM, struct
+from rtdw.schemas import struct
 from rtdw.session import fresh_dir
 from rtdw.sinks.dims import DimensionStore
 from rtdw.streaming import jobs, keyed, visits
@@ -26,6 +32,26 @@ def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.readStream.schema(struct(TABLES[name])).parquet(f"{sf_dir}/{name}.parque[t]")
 
 
+FAR_MS = 4_102_444_800_000
+FAR_TEXT = "2100-01-01 00:00:00"
+
+
+def stored_stream(spark: SparkSession, rows: DataFrame, purpose: str) -> DataFrame:
+    """Rows written as a table, as a stream."""
+    path = fresh_dir(spark, purpose)
+    rows.write.parquet(path)
+    return spark.readStream.schema(rows.schema).parquet(path)
+
+
+def with_far_row(stream: DataFrame, **values) -> DataFrame:
+    """The stream and one row with these values, null elsewhere."""
+    spark = stream.sparkSession
+    row = tuple(values.get(c) for c in stream.columns)
+    nullable = T.StructType([T.StructField(f.name, f.dataType) for f in stream.schema])
+    far = stored_stream(spark, spark.createDataFrame([row], nullable), "far-row")
+    return stream.unionByName(far)
+
+
 def _pages(spark, d):
     return standin.page_log(stream_table(spark, d, "events"))
 
@@ -60,82 +86,94 @@ def stream_unique_visit(spark, d):
     return run_to_table(spark, kept, "unique-visit")
 
 
-@query
-def stream_bounce_detail(spark, d):
+def _bounced(spark, d):
     pages = _pages(spark, d).selectExpr(
         "common.mid as mid", "ts", "page.last_page_id is null as entry",
         "lpad(event_id, 20, '0') as tie", "cast(event_id as string) as value",
     )
-    bounced = keyed.bounces(pages, timeout=standin.BOUNCE_TIMEOUT)
-    return run_to_table(spark, bounced, "bounce").selectExpr(
+    pages = with_far_row(pages, mid="far", ts=FAR_MS, entry=True, tie="", value="")
+    return keyed.bounces(pages, timeout=standin.BOUNCE_TIMEOUT)
+
+
+@query
+def stream_bounce_detail(spark, d):
+    return run_to_table(spark, _bounced(spark, d), "bounce").selectExpr(
         "cast(value as bigint) as event_id", "mid", "ts"
     )
 
 
 @query
 def stream_order_wide(spark, d):
-    joined = _order_wide(spark, d).select(
-        "detail_id", "order_id", "sku_id", "order_price", "sku_num", "province_id",
-        "order_status", "user_id", "total_amount", "split_total_amount", "create_time",
-        "create_hour",
-    )
-    return run_to_table(spark, joined, "order-wide")
+    return run_to_table(spark, _order_wide(spark, d), "order-wide").select(*ORDER_COLUMNS)
+
+
+def _order_wide_topic(spark, d):
+    """The finished order wide table as a stream."""
+    return stored_stream(spark, run_to_table(spark, _order_wide(spark, d), "order-wide"), "topic")
+
+
+def _payment_wide(spark, d, orders_wide):
+    paid = standin.payment_info(stream_table(spark, d, "orders"))
+    return wide.payment_wide(paid, orders_wide, standin.PAY_LOWER, standin.PAY_UPPER)
 
 
 @query
 def stream_payment_wide(spark, d):
-    orders = _orders(spark, d).selectExpr("id as order_id", "create_time", "order_status")
-    paid = standin.payment_info(stream_table(spark, d, "orders"))
-    left = paid.withColumn("__time", times.text_to_ts("create_time")).withWatermark(
-        "__time", "0 seconds"
-    )
-    right = orders.withColumn("__time", times.text_to_ts("create_time")).withWatermark(
-        "__time", "0 seconds"
-    )
-    joined = joins.interval_join(
-        left, right, "order_id", "order_id", "__time", "__time",
-        standin.PAY_LOWER, standin.PAY_UPPER,
-    ).selectExpr(
-        "l.id as payment_id", "l.order_id as order_id", "l.user_id as user_id",
-        "l.total_amount as total_amount", "l.create_time as payment_create_time",
-        "r.create_time as order_create_time", "r.order_status as order_status",
-    )
-    return run_to_table(spark, joined, "payment")
+    joined = _payment_wide(spark, d, _order_wide_topic(spark, d))
+    return run_to_table(spark, joined, "payment").select(*PAYMENT_COLUMNS)
 
 
 @query
 def stream_page_stats(spark, d):
-    counted = stats.visitor_stats(events.page_views(_pages(spark, d)), standin.HOUR)
-    return run_to_table(spark, counted, "page-stats")
+    views = with_far_row(events.page_views(_pages(spark, d)), ts=FAR_MS)
+    return run_to_table(spark, stats.visitor_stats(views, standin.HOUR), "page-stats")
 
 
 @query
-def stream_product_stats(spark, d):
-    source = stream_table(spark, d, "events")
-    unified = (
-        events.clicks_and_displays(standin.page_log(source))
-        .unionByName(events.favors(standin.favor_info(source)))
-        .unionByName(events.carts(standin.cart_info(source)))
-        .unionByName(events.comments(standin.comment_info(source)))
-        .unionByName(
-            events.refunds(standin.refund_info(stream_table(spark, d, "lineitem")))
-        )
+def stream_visitor_stats(spark, d):
+    """Page views, unique visits and bounces, the latter two as tables of their jobs.
+
+    Unique visits come from the stored form, which keeps the first by time; the
+    running form keeps the first to arrive.
+    """
+    stored = standin.page_log(table(spark, d, "events"))
+    visited = stored_visits.unique_visits(stored, tiebreak=("event_id",))
+    bounced = run_to_table(spark, _bounced(spark, d), "bounce").selectExpr(
+        "cast(value as bigint) as event_id"
     )
-    measured = stats.product_measures(unified, standin.DAY).select(
-        "stt", "edt", "sku_id", "display_ct", "click_ct", "favor_ct", "cart_ct",
-        "refund_order_ct", F.col("refund_amount").cast(MONEY_SUM), "comment_ct",
-        "good_comment_ct", "ts",
+    unified = events.visitor_events(
+        _pages(spark, d),
+        stored_stream(spark, visited, "unique-visit"),
+        stored_stream(spark, stored.join(bounced, "event_id"), "bounce"),
     )
-    return run_to_table(spark, measured, "product-stats")
+    counted = stats.visitor_stats(with_far_row(unified, ts=FAR_MS), standin.HOUR)
+    return run_to_table(spark, counted, "visitor-stats")
+
+
+@query
+def stream_product_stats(spark, d):
+    """All seven inputs; orders and payments are tables of their jobs."""
+    source = stream_table(spark, d, "events")
+    finished = run_to_table(spark, _order_wide(spark, d), "order-wide")
+    orders_wide = stored_stream(spark, finished, "topic")
+    paid = run_to_table(spark, _payment_wide(spark, d, orders_wide), "payment")
+    unified = events.product_events(
+        standin.page_log(source),
+        standin.favor_info(source),
+        orders_wide,
+        stored_stream(spark, paid, "topic"),
+        standin.refund_info(stream_table(spark, d, "lineitem")),
+        standin.cart_info(source),
+        standin.comment_info(source),
+    )
+    measured = stats.product_measures(with_far_row(unified, ts=FAR_MS), standin.DAY)
+    return run_to_table(spark, measured.selectExpr(*PRODUCT_COLUMNS), "product-stats")
 
 
 @query
 def stream_province_stats(spark, d):
-    orders = _orders(spark, d).selectExpr(
-        "id as order_id", "province_id", "total_amount as split_total_amount", "create_time"
-    )
     located = joins.enrich(
-        orders,
+        _order_wide_topic(spark, d),
         standin.dim_province(table(spark, d, "nation")),
         "province_id",
         {
@@ -145,6 +183,7 @@ def stream_province_stats(spark, d):
             "province_3166_2_code": "iso_3166_2",
         },
     )
+    located = with_far_row(located, create_time=FAR_TEXT)
     counted = stats.province_stats(located, standin.DAY).drop("ts")
     return run_to_table(spark, counted, "province-stats")
 
@@ -154,6 +193,8 @@ def stream_keyword_stats(spark, d):
     pages = standin.search_pages(
         stream_table(spark, d, "documents"), stream_table(spark, d, "events")
     )
+    far = datetime.fromtimestamp(FAR_MS / 1000, UTC)
+    pages = with_far_row(pages, page={"item_type": "keyword", "item": "far"}, ts=FAR_MS, rt=far)
     counted = stats.keyword_stats(pages, standin.HOUR).drop("ts")
     return run_to_table(spark, counted, "keyword-stats")
 

@@ -219,22 +219,45 @@ def start_payment_wide(w: Warehouse):
     return w.start_sending(topic_sink.as_text(joined), PAYMENT_WIDE)
 
 
-def start_visitor_stats(w: Warehouse, width: str = "10 seconds"):
+def chain_lateness(w: Warehouse, layers: int, base: int) -> str:
+    """How far behind the fastest input the rows of the longest chain of jobs may come.
+
+    ``base`` seconds of the rules themselves, and for each layer two trigger
+    intervals: one to pick its input up and one to close on the watermark.
+    """
+    words = (w.every or "0 seconds").split()
+    seconds = int(words[0]) * {"second": 1, "minute": 60, "hour": 3600}[words[1].rstrip("s")]
+    return f"{base + 2 * layers * seconds} seconds"
+
+
+def start_visitor_stats(
+    w: Warehouse, width: str = "10 seconds", lateness: str | None = None
+):
+    """Bounces come one job later than pages: after their timeout of 10 s, the 2 s of that
+    job and the 4 s of this one, and the triggers of both."""
+    lateness = lateness or chain_lateness(w, 2, 16)
     unified = events.visitor_events(
         w.pages(),
         _pages(w.lines(UNIQUE_VISIT)),
         _pages(w.lines(BOUNCE)),
     )
     return start_table(
-        stats.visitor_stats(unified, width),
+        stats.visitor_stats(unified, width, lateness),
         w.path(VISITOR_STATS),
         w.checkpoint(VISITOR_STATS),
         every=w.every,
     )
 
 
-def start_product_stats(w: Warehouse, width: str = "10 seconds", how: str = "inner"):
-    """Seven topics to windowed measures; dimensions are added to the finished windows."""
+def start_product_stats(
+    w: Warehouse, width: str = "10 seconds", how: str = "inner", lateness: str | None = None
+):
+    """Seven topics to windowed measures; dimensions are added to the finished windows.
+
+    Payments come through routing, order wide and payment wide, so rows may be as
+    late as the triggers of these jobs and this one, and the 2 s of each join.
+    """
+    lateness = lateness or chain_lateness(w, 4, 6)
     unified = events.product_events(
         w.pages(),
         w.fact("dwd_favor_info", schemas.FAVOR_INFO),
@@ -250,7 +273,7 @@ def start_product_stats(w: Warehouse, width: str = "10 seconds", how: str = "inn
         filled = stats.product_dimensions(batch, dims, how)
         olap.write_parquet(filled, schemas.PRODUCT_STATS, w.path(PRODUCT_STATS), batch_id)
 
-    measured = stats.product_measures(unified, width)
+    measured = stats.product_measures(unified, width, lateness)
     return start_batches(measured, process, w.checkpoint(PRODUCT_STATS), w.every)
 
 
