@@ -76,6 +76,13 @@ bounce AS (
     AND (next_id IS NULL OR next_ts - ts >= {6 * HOUR_MS} OR next_last IS NULL))
 """
 
+SOME_USERS = (
+    "(SELECT dim_user.* FROM dim_user JOIN customer ON id = c_custkey WHERE c_acctbal >= 1000)"
+)
+SOME_SPUS = (
+    "(SELECT dim_spu.* FROM dim_spu JOIN supplier ON id = s_suppkey WHERE s_acctbal >= 1000)"
+)
+
 ORDER = """
 order_info AS (
   SELECT o_orderkey AS id, CAST(c_nationkey AS BIGINT) AS province_id,
@@ -287,16 +294,17 @@ SELECT w.detail_id, w.order_id, w.sku_id, k.sku_name, w.user_id,
        v.iso_code AS province_iso_code, v.iso_3166_2 AS province_3166_2_code,
        k.spu_id, s.spu_name, k.tm_id, t.tm_name, k.category3_id, c.name AS category3_name,
        w.split_total_amount, w.create_time
-FROM order_wide w JOIN dim_user u ON w.user_id = u.id JOIN dim_province v ON w.province_id = v.id
-JOIN dim_sku k ON w.sku_id = k.id JOIN dim_spu s ON k.spu_id = s.id
+FROM order_wide w JOIN {SOME_USERS} u ON w.user_id = u.id
+JOIN dim_province v ON w.province_id = v.id
+JOIN dim_sku k ON w.sku_id = k.id JOIN {SOME_SPUS} s ON k.spu_id = s.id
 JOIN dim_trademark t ON k.tm_id = t.id JOIN dim_category3 c ON k.category3_id = c.id""",
     "order_wide_dims_left": f"""{_with(ORDER, DIM)}
 SELECT w.detail_id, w.order_id, w.sku_id, k.sku_name,
        CAST(u.lived // 31536000000 AS INTEGER) AS user_age, v.name AS province_name,
        k.spu_id, s.spu_name, t.tm_name, c.name AS category3_name
-FROM order_wide w LEFT JOIN dim_user u ON w.user_id = u.id
+FROM order_wide w LEFT JOIN {SOME_USERS} u ON w.user_id = u.id
 LEFT JOIN dim_province v ON w.province_id = v.id
-LEFT JOIN dim_sku k ON w.sku_id = k.id LEFT JOIN dim_spu s ON k.spu_id = s.id
+LEFT JOIN dim_sku k ON w.sku_id = k.id LEFT JOIN {SOME_SPUS} s ON k.spu_id = s.id
 LEFT JOIN dim_trademark t ON k.tm_id = t.id LEFT JOIN dim_category3 c ON k.category3_id = c.id""",
     "dim_lookup_by_id": f"""{_with(DIM)}
 SELECT id, gender, birthday FROM dim_user WHERE id IN (SELECT user_id FROM events)""",

@@ -228,9 +228,19 @@ def payment_wide(spark, d):
     return _payment_wide(spark, d, _order_wide(spark, d)).select(*PAYMENT_COLUMNS)
 
 
+def _dimensions_with_gaps(spark, d):
+    """The dimensions without poorer users and SPUs, so that lookups miss rows."""
+    users = table(spark, d, "customer").where("c_acctbal >= 1000")
+    makers = table(spark, d, "supplier").where("s_acctbal >= 1000")
+    return {
+        **standin.dimensions(spark, d),
+        "user": standin.dim_user(users), "spu": standin.dim_spu(makers),
+    }
+
+
 @query
 def order_wide_dims(spark, d):
-    dims = standin.dimensions(spark, d)
+    dims = _dimensions_with_gaps(spark, d)
     return wide.add_dimensions(_order_wide(spark, d), dims, standin.AS_OF).select(
         "detail_id", "order_id", "sku_id", "sku_name", "user_id", "user_age", "user_gender",
         "province_id", "province_name", "province_area_code", "province_iso_code",
@@ -241,7 +251,7 @@ def order_wide_dims(spark, d):
 
 @query
 def order_wide_dims_left(spark, d):
-    dims = standin.dimensions(spark, d)
+    dims = _dimensions_with_gaps(spark, d)
     return wide.add_dimensions(_order_wide(spark, d), dims, standin.AS_OF, how="left").select(
         "detail_id", "order_id", "sku_id", "sku_name", "user_age", "province_name", "spu_id",
         "spu_name", "tm_name", "category3_name",

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from rtdw.operators import cdc
 from rtdw.operators.parse import parse_strict
 from rtdw.schemas import CHANGE, RAW_CHANGE
+from rtdw.session import fresh_dir
 
 
 def parse_changes(lines: DataFrame) -> DataFrame:
@@ -35,10 +36,27 @@ def snapshot_then_changes(
 ) -> DataFrame:
     """A table's stored rows as ``read`` changes, and the changes logged since, as one stored frame.
 
-    The streaming counterpart reads the folder as a stream and upserts each
-    batch over the snapshot.
+    ``stream_snapshot_then_changes`` is the streaming form.
     """
     columns = CHANGE.fieldNames()
     first = cdc.snapshot_as_changes(snapshot, database, table).select(*columns)
     later = stored_changes(spark, path).where(F.col("tableName") == table).select(*columns)
     return first.unionByName(later)
+
+
+def stream_snapshot_then_changes(
+    spark: SparkSession, snapshot: DataFrame, path: str, database: str, table: str
+) -> DataFrame:
+    """The same as a stream: the stored rows first, then each change that is logged.
+
+    The snapshot is written to a table of its own when the stream is built, so a
+    restarted query does not see rows that came later. Changes carry a higher
+    ``seq`` than the snapshot, so their order of arrival does not matter to
+    whoever keeps the newest.
+    """
+    columns = CHANGE.fieldNames()
+    stored = fresh_dir(spark, "snapshot")
+    first = cdc.snapshot_as_changes(snapshot, database, table).select(*columns)
+    first.write.parquet(stored)
+    later = parse_changes(spark.readStream.text(path)).where(F.col("tableName") == table)
+    return spark.readStream.schema(first.schema).parquet(stored).unionByName(later.select(*columns))

@@ -14,25 +14,33 @@ from pyspark.sql import types as T
 from rtdw.schemas import TEXT_MAP
 
 
-def read_folder(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
-    """A folder of text files as a stream, e.g. the daily rolled application logs."""
+def _files(spark: SparkSession, rate: int | None):
+    """A stream reader that takes at most ``rate`` files at a time."""
     reader = spark.readStream
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.text(path)
+    return reader.option("maxFilesPerTrigger", rate) if rate else reader
+
+
+def read_folder(spark: SparkSession, path: str, rate: int | None = None) -> DataFrame:
+    """A folder of text files as a stream, e.g. the daily rolled application logs."""
+    return _files(spark, rate).text(path)
 
 
-def read_topic(spark: SparkSession, path: str, topic: str) -> DataFrame:
+def read_topic(
+    spark: SparkSession, path: str, topic: str, rate: int | None = None
+) -> DataFrame:
     """One topic of a folder that a split or routing job writes, partitioned by topic."""
-    rows = spark.readStream.schema("value string, topic string").text(path)
+    rows = _files(spark, rate).schema("value string, topic string").text(path)
     return rows.where(F.col("topic") == topic).select("value")
 
 
-def read_batches(spark: SparkSession, path: str, topic: str | None = None) -> DataFrame:
+def read_batches(
+    spark: SparkSession, path: str, topic: str | None = None, rate: int | None = None
+) -> DataFrame:
     """A folder written batch by batch (``batch=N``), optionally one topic of it."""
+    files = _files(spark, rate)
     if topic is None:
-        return spark.readStream.schema("value string, batch bigint").text(path).select("value")
-    rows = spark.readStream.schema("value string, batch bigint, topic string").text(path)
+        return files.schema("value string, batch bigint").text(path).select("value")
+    rows = files.schema("value string, batch bigint, topic string").text(path)
     return rows.where(F.col("topic") == topic).select("value")
 
 
@@ -42,8 +50,11 @@ def read_kafka(
     topic: str,
     starting: str = "latest",
     options: Mapping[str, str] | None = None,
+    rate: int | None = None,
 ) -> DataFrame:
     """A Kafka topic as a stream of text. ``starting`` counts for a first run only."""
+    if rate:
+        options = {"maxOffsetsPerTrigger": str(rate), **(options or {})}
     return (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from rtdw import schemas
 from rtdw.operators import cdc, events, logs, parse, routing, stats, wide
 from rtdw.sinks import olap, topics as topic_sink
-from rtdw.sinks.dims import DimensionStore
+from rtdw.sinks.dims import DimensionStore, create_tables, table_columns
 from rtdw.sources import changes, topics
 from rtdw.sources.dims import typed
 from rtdw.streaming import keyed, visits
@@ -50,7 +50,8 @@ class Warehouse:
     """A session and the folder, shared by all executors, that holds all topics and tables.
 
     With ``servers`` the topics live in Kafka instead; dimensions, config and
-    statistics stay in the folder.
+    statistics stay in the folder. ``rate`` bounds what a micro-batch takes of a
+    topic, in files or Kafka records, so a backlog is worked off in steps.
     """
 
     spark: SparkSession
@@ -58,6 +59,8 @@ class Warehouse:
     every: str | None = "5 seconds"
     servers: str | None = None
     starting: str = "latest"
+    database: str | None = None
+    rate: int | None = None
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -85,14 +88,16 @@ class Warehouse:
     def lines(self, topic: str) -> DataFrame:
         """A topic as a stream of text."""
         if self.servers:
-            return topics.read_kafka(self.spark, self.servers, topic, self.starting)
+            return topics.read_kafka(
+                self.spark, self.servers, topic, self.starting, rate=self.rate
+            )
         if topic in (logs.PAGE_TOPIC, logs.START_TOPIC, logs.DISPLAY_TOPIC):
-            return topics.read_topic(self.spark, self.path(LOGS), topic)
+            return topics.read_topic(self.spark, self.path(LOGS), topic, self.rate)
         if topic == ORDER_WIDE:
-            return topics.read_batches(self.spark, self.path(topic))
+            return topics.read_batches(self.spark, self.path(topic), rate=self.rate)
         if topic.startswith("dwd_"):
-            return topics.read_batches(self.spark, self.path(FACTS), topic)
-        return topics.read_folder(self.spark, self.path(topic))
+            return topics.read_batches(self.spark, self.path(FACTS), topic, self.rate)
+        return topics.read_folder(self.spark, self.path(topic), self.rate)
 
     def start_sending(self, rows: DataFrame, name: str):
         """Start writing a stream to the topic ``name``, or to the topic each row names."""
@@ -151,27 +156,26 @@ def compact_dimensions(w: Warehouse, upto: int) -> None:
 
     The config has a few rows per source table, so listing its tables is cheap.
     """
-    columns = F.array_distinct(F.flatten(F.collect_list(F.split("sink_columns", ","))))
-    tables = (
-        w.config()
-        .where(F.col("sink_type") == routing.DIM_SINK)
-        .groupBy("sink_table")
-        .agg(columns.alias("columns"), F.coalesce(F.max("sink_pk"), F.lit("id")).alias("pk"))
-    )
-    for table in tables.collect():
-        w.dims.compact(table["sink_table"], sorted(table["columns"]), upto, table["pk"])
+    tables = table_columns(w.config()).collect()
+    for table in tables:
+        w.dims.compact(table["sink_table"], sorted(table["columns"]), upto, table["sink_pk"])
+    w.dims.vacuum([table["sink_table"] for table in tables])
 
 
 def start_db_routing(w: Warehouse, compact_every: int = 100):
     """Change records to fact topics and the dimension store, by the config of the moment.
 
     Every ``compact_every`` batches the dimension changes are folded, so that a
-    reader never folds more than that many batches.
+    reader never folds more than that many batches. With a ``database`` a new
+    config row also creates its dimension table there.
     """
     log = changes.parse_changes(w.lines(DB_LOG))
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        routed = routing.route(cdc.drop_deletes(batch), w.config()).persist()
+        config = w.config()
+        if w.database:
+            create_tables(w.spark, config, w.database)
+        routed = routing.route(cdc.drop_deletes(batch), config).persist()
         try:
             w.send_batch(routing.facts(routed), FACTS, batch_id)
             w.dims.append(routing.dimensions(routed), batch_id)

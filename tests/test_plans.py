@@ -7,9 +7,10 @@ import pytest
 
 import __spark_entry__ as entry
 from rtdw.operators import stats
+from rtdw.plans.queries import QUERIES
 from rtdw.session import session_settings
 
-BATCH = sorted(n for n in entry.queries() if not n.startswith("stream_"))
+BATCH = sorted(n for n in QUERIES if not n.startswith("stream_"))
 # As if every table were large: nothing is small enough to broadcast.
 LARGE = {"spark.sql.autoBroadcastJoinThreshold": "-1"}
 
@@ -34,8 +35,10 @@ def test_no_python_no_cross_join_no_single_task(spark, sf_dir, name):
 )
 def test_first_row_rules_cut_down_before_the_shuffle(spark, sf_dir, name):
     text = plan(entry.queries()[name](spark, sf_dir))
-    final, partial = text.split("\n\n")[0].split("WindowGroupLimit")[1:]
-    assert "Exchange" in final and "Scan" in partial
+    steps = text.split("\n\n")[0].split("WindowGroupLimit")[1:]
+    assert steps and len(steps) % 2 == 0
+    for final, partial in zip(steps[::2], steps[1::2], strict=True):
+        assert "Exchange" in final and "Scan" in partial
 
 
 def test_scans_read_the_columns_they_need(spark, sf_dir):
@@ -52,3 +55,13 @@ def test_filters_reach_the_scan(spark, sf_dir, tmp_path):
     spark.sql("SELECT '2024-01-01 00:00:00' AS stt, cast(1 AS decimal(26,2)) AS order_amount").write.parquet(path)
     text = plan(stats.gmv(spark.read.parquet(path)))
     assert "GreaterThanOrEqual(stt," in text and "LessThanOrEqual(stt," in text
+
+
+def test_facts_are_read_and_shuffled_once(spark, sf_dir):
+    with session_settings(spark, LARGE):
+        text = plan(QUERIES["product_stats"](spark, sf_dir))
+        wide = plan(QUERIES["order_wide_dims"](spark, sf_dir))
+    assert text.count("lineitem.parquet") == 1  # refunds; order wide is a table by then
+    # The order/detail join, the orders' customers, three dimension joins of the facts and
+    # three of the products.
+    assert wide.split("\n\n")[0].count("SortMergeJoin") <= 8

@@ -4,6 +4,8 @@ import pytest
 
 import __spark_entry__ as entry
 import check
+from rtdw.plans.checks import CHECKS
+from rtdw.plans.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -11,14 +13,15 @@ def con(sf_dir):
     return check.duck(sf_dir)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, sf_dir, name):
     ok, note = check.compare(spark, con, name, sf_dir)
     assert ok, note
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(CHECKS)
+    assert QUERIES.keys() <= entry.queries().keys() and CHECKS.keys() <= entry.oracle_sql().keys()
 
 
 def test_entry(spark):
