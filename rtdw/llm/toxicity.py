@@ -263,10 +263,10 @@ def learn_lexicon(labelled: DataFrame, text: str = "text", label: str = "toxic",
         for frame in frames:
             for value, y in zip(frame["text"], frame["label"], strict=True):
                 (toxic if y else clean).update(terms_of(value))
-        terms = sorted(toxic.keys() | clean.keys())
-        yield pd.DataFrame({
-            "term": terms, "toxic": [toxic[t] for t in terms], "clean": [clean[t] for t in terms],
-        }).astype({"toxic": "int64", "clean": "int64"})
+        if terms := sorted(toxic.keys() | clean.keys()):
+            yield pd.DataFrame({
+                "term": terms, "toxic": [toxic[t] for t in terms], "clean": [clean[t] for t in terms],
+            })
 
     family = F.array_min(F.transform(F.split(F.lower(text), r"[^\p{L}]+"), lambda w: F.xxhash64(w)))
     rows = labelled.select(F.col(text).alias("text"), F.col(label).cast("int").alias("label"), family.alias("family"))
@@ -279,7 +279,7 @@ def learn_lexicon(labelled: DataFrame, text: str = "text", label: str = "toxic",
     candidates = {row["term"] for row in counted.collect()}  # bounded by the sample
 
     def present(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
+        for frame in filter(len, frames):
             yield pd.DataFrame({"terms": [sorted(terms_of(x) & candidates) for x in frame["text"]]})
 
     toxic = rows.filter("label = 1").mapInPandas(present, "terms array<string>").collect()
