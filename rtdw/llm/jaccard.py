@@ -136,9 +136,9 @@ def group_links(bucket: int, names: list[bytes], sides: np.ndarray, copies: np.n
     Sides are 0 and 1 where two blocks meet, whose sets are only compared across, and 2
     where all sets of one block are compared.
     """
-    sizes = np.array([len(x) for x in sets], np.float32)
-    both = _common(sets)
-    linked = both >= threshold * (sizes[:, None] + sizes[None, :] - both) - 1e-3
+    sizes = np.array([len(x) for x in sets], np.float64)
+    both = _common(sets).astype(np.float64)
+    linked = both >= threshold * (sizes[:, None] + sizes[None, :] - both) - 1e-6
     linked &= np.where(sides[:, None] == 2, True, sides[:, None] != sides[None, :])
     np.fill_diagonal(linked, False)
     earlier = [x[x < bucket] for x in buckets]
@@ -260,8 +260,10 @@ def near_classes(docs: DataFrame, size: int = SHINGLE, threshold: float = THRESH
             (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
         )
     )
-    classed = sketch.select("key", "doc_id", "set").join(of_sets, "set")
+    # Written tables on both sides of the last joins: large classes can then be split.
+    classed = stored(sketch.select("key", "doc_id", "set").join(stored(of_sets, "set-classes"), "set"), "classed")
     named = classed.groupBy("root").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"))
+    named = stored(named, "class-names")
     one, zero = F.lit(1).cast("long"), F.lit(0).cast("long")
     return classed.join(named, "root").select(
         "key", "doc_id", "root", "class_id", "n_links", "class_size", F.lit(False).alias("alone")
