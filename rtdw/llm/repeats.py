@@ -205,6 +205,7 @@ def repeated_spans(docs: DataFrame, least: int = LEAST, gram: int = GRAM) -> Dat
     anchors = every.groupBy("anchor").agg(
         times.alias("times"), (F.min("context") != F.max("context")).alias("several"),
     ).filter("times > 1").drop("times")
+    anchors = stored(anchors, "shared-anchors")  # a table, so that large anchors' joins can be split
     shared = stored(every.join(anchors, "anchor"), "shared-contexts")
     grouped = shared.groupBy("anchor", "context", "several").agg(
         times.alias("n"), F.min(F.struct("k1", "k2", F.element_at("starts", 1).alias("start"), "windows")).alias("one")
