@@ -27,14 +27,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rtdw.llm.tables import extended, stored, table
-from rtdw.llm.words import pieces
+from rtdw.llm.words import kept, pieces
 
 CAPACITY = 2048
 END = 0
 #: Branches looked at for one filling before the incumbent is taken.
 BRANCHES = 2000
 #: Chunks whose ids a worker remembers.
-CACHED_CHUNKS = 800_000
+CACHED_CHUNKS = 600_000
 ROWS_PER_TASK = 100_000
 
 
@@ -83,16 +83,6 @@ class Encoder:
         return [np.frombuffer(b"".join(map(get, chunks)) + end, np.uint32) for chunks in split]
 
 
-_encoders: dict[str, Encoder] = {}
-
-
-def encoder(path: str) -> Encoder:
-    """The worker's encoder for a vocabulary file; it outlives a task."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
-
-
 def token_pieces(docs: DataFrame, keep: list[str], vocabulary: str, text: str = "text",
                  capacity: int = CAPACITY, ids: bool = False) -> DataFrame:
     """The documents' pieces: kept columns, piece, start, length, ids_crc32, and ids if asked.
@@ -104,9 +94,10 @@ def token_pieces(docs: DataFrame, keep: list[str], vocabulary: str, text: str =
     schema = extended(docs.select(*keep).schema, more + ", ids array<int>" * ids)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(vocabulary)
+        owner = f"encoder {vocabulary}"
+        own = kept(owner, lambda: Encoder(vocabulary))
         for batch in batches:
-            for rows, _ in pieces(batch, "__text"):
+            for rows, _ in pieces(batch, "__text", owner=owner):
                 texts = rows.column("__text").fill_null("").to_pylist()
                 at, out = [], []
                 for i, got in enumerate(own.encode(texts)):
@@ -120,8 +111,8 @@ def token_pieces(docs: DataFrame, keep: list[str], vocabulary: str, text: str =
                 ]
                 if ids:
                     values.append(pa.array([p.astype(np.int32) for p in columns[4]], pa.list_(pa.int32())))
-                kept = rows.select(keep).take(pa.array(at))
-                yield pa.RecordBatch.from_arrays([*kept.columns, *values], schema.names)
+                own_rows = rows.select(keep).take(pa.array(at))
+                yield pa.RecordBatch.from_arrays([*own_rows.columns, *values], schema.names)
 
     return docs.select(*keep, F.col(text).cast("string").alias("__text")).mapInArrow(cut, schema)
 

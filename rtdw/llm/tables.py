@@ -9,8 +9,18 @@ from pyspark.sql import types as T
 from rtdw.session import fresh_dir
 
 
+#: Texts differ in length, so what a Python worker gets at once is bounded by bytes.
+BATCH_BYTES = "4m"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Bound the session's Arrow batches; the plans made from now on keep to it."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A sample table by name."""
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -19,6 +29,7 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
 
     The rows do not depend on any executor afterwards, and are computed once.
     """
+    bound_batches(df.sparkSession)
     path = fresh_dir(df.sparkSession, purpose)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

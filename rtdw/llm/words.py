@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import gc
+from collections.abc import Callable, Iterator
 from functools import cache
-from typing import NamedTuple
+from typing import Any, NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +15,26 @@ INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 CHUNK_BYTES = 2 << 20
 
 
+_kept: dict[str, Any] = {}
+
+
+def kept(owner: str, make: Callable[[], Any]) -> Any:
+    """What an operator's tasks keep in a worker; it is made once."""
+    if owner not in _kept:
+        _kept[owner] = make()
+    return _kept[owner]
+
+
+def forget_others(owner: str | None) -> None:
+    """Drop what other operators' tasks have kept in this worker."""
+    others = _kept.keys() - {owner}
+    for other in others:
+        del _kept[other]
+    if others:
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+
+
 class Texts(NamedTuple):
     """UTF-8 bytes of several texts and where each begins (one more entry than texts)."""
 
@@ -43,11 +64,14 @@ def texts_of(column: pa.Array | pa.ChunkedArray) -> Texts:
     return Texts(data[offsets[0] : offsets[-1]], offsets - offsets[0])
 
 
-def pieces(batch: pa.RecordBatch, text: str, limit: int = CHUNK_BYTES) -> Iterator[tuple]:
+def pieces(batch: pa.RecordBatch, text: str, limit: int = CHUNK_BYTES,
+           owner: str | None = None) -> Iterator[tuple]:
     """Slices of a batch, each with its texts, of about ``limit`` bytes.
 
-    A longer text makes a slice of its own: texts are never cut.
+    A longer text makes a slice of its own: texts are never cut. What operators other
+    than ``owner`` have kept in this worker is dropped.
     """
+    forget_others(owner)
     whole = texts_of(batch.column(text))
     first, count = 0, len(batch)
     while first < count:
