@@ -254,8 +254,8 @@ def choose_entries(texts: dict[str, set[int]], toxic: int, share: float, support
 def learn_lexicon(labelled: DataFrame, text: str = "text", label: str = "toxic",
                   support: int = 3, purity: float = 0.95) -> tuple[list[str], list[str]]:
     """Words and stems that occur in at least ``support`` toxic texts and, of all texts that
-    they occur in, almost only in those. Near copies, told by their least word hash, count
-    as one text.
+    they occur in, almost only in those. Texts of the same words in the same order count as
+    one; all others, near copies too, count each.
     """
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -268,9 +268,9 @@ def learn_lexicon(labelled: DataFrame, text: str = "text", label: str = "toxic",
                 "term": terms, "toxic": [toxic[t] for t in terms], "clean": [clean[t] for t in terms],
             })
 
-    family = F.array_min(F.transform(F.split(F.lower(text), r"[^\p{L}]+"), lambda w: F.xxhash64(w)))
-    rows = labelled.select(F.col(text).alias("text"), F.col(label).cast("int").alias("label"), family.alias("family"))
-    rows = stored(rows.dropDuplicates(["family", "label"]), "toxic-labelled")
+    same = F.sha2(F.concat_ws(" ", F.array_remove(F.split(F.lower(text), r"[^\p{L}]+"), "")), 256)
+    rows = labelled.select(F.col(text).alias("text"), F.col(label).cast("int").alias("label"), same.alias("words"))
+    rows = stored(rows.dropDuplicates(["words", "label"]), "toxic-labelled")
     counted = (
         rows.mapInPandas(count, "term string, toxic long, clean long")
         .groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))

@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import pytest
@@ -77,3 +78,16 @@ def test_quoted_matches_are_told_apart():
     assert [(m[2], m[3]) for m in meant] == [(0, False)]
     assert [(m[2], m[3]) for m in quoted] == [(1, True)]
     assert "you are an Idiot and more"[meant[0][0] : meant[0][1]] == "Idiot"
+
+
+def test_lexicon_counts_texts_that_share_words(spark):
+    rng = random.Random(3)
+    usual = [f"{a}{b}" for a in ("ka", "mo", "tu", "se") for b in ("lin", "dor", "vas")]
+    own = lambda: "".join(rng.choices("bcdfghjklmnp", k=9))
+    mixed = lambda *more: " ".join(rng.sample([*usual, own(), own(), own(), *more], 15 + len(more))) + "."
+    rows = [(mixed("vermin"), 1) for _ in range(4)] + [(mixed(), 0) for _ in range(8)]
+    copied = mixed("zebra")
+    rows += [(copied, 1), (copied.upper(), 1), (copied + " !", 1), (copied.replace(" ", ", "), 1)]
+    words, stems = toxicity.learn_lexicon(spark.createDataFrame(rows, "text string, toxic int"))
+    assert "vermin" in words + stems
+    assert not any("zebra".startswith(entry) for entry in words + stems)
