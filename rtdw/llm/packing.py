@@ -6,19 +6,21 @@ made from these counts, and Spark deals the pieces to the places of the plan. Th
 the plan's patterns and the work on them are bounded by the capacity, whatever the number
 of documents.
 
-The plan is made by bin completion. The largest length left opens a sequence, and its
-undominated fillings are enumerated: sets of other lengths that fit beside it, none of
-which can be exchanged for a larger one. Best fit gives the first filling, the incumbent;
-a branch is pruned if even filling its space to the end, or the waste that the lengths left
-allow, cannot beat the incumbent. The chosen filling is applied as often as the counts
-allow at once.
+The plan is made by bin completion. Best-fit decreasing gives the first plan, the incumbent.
+The largest length left opens a sequence, and its undominated fillings are enumerated,
+those of least waste first: sets of other lengths that fit beside it, none of which can be
+exchanged for a larger one. A filling is applied as often as the counts allow, or once, and
+the search goes on with what is left. A branch is pruned if the tokens left, packed without
+waste, cannot beat the incumbent; a plan as short as the lower bound ends the search, as
+does a number of sequences tried.
 """
 
 from __future__ import annotations
 
 import os
 import zlib
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right, insort
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,8 +33,8 @@ from rtdw.llm.words import kept, pieces
 
 CAPACITY = 2048
 END = 0
-#: Branches looked at for one filling before the incumbent is taken.
-BRANCHES = 2000
+#: Sequences tried after the first whole plan before the best plan so far is taken.
+NODES = 2000
 #: Chunks whose ids a worker remembers.
 CACHED_CHUNKS = 600_000
 ROWS_PER_TASK = 100_000
@@ -117,70 +119,177 @@ def token_pieces(docs: DataFrame, keep: list[str], vocabulary: str, text: str =
     return docs.select(*keep, F.col(text).cast("string").alias("__text")).mapInArrow(cut, schema)
 
 
-def best_filling(space: int, lengths: list[int], counts: dict[int, int]) -> list[int]:
-    """The lengths that fill the space with the least waste, larger and fewer ones first.
+def best_fit(space: int, lengths: list[int], counts: dict[int, int]) -> list[int]:
+    """The largest length that fits, again and again."""
+    used: list[int] = []
+    at = bisect_right(lengths, space)
+    while at:
+        length = lengths[at - 1]
+        take = min(counts[length], space // length)
+        used += [length] * take
+        space -= take * length
+        at = min(at - 1, bisect_right(lengths, space))
+    return used
+
+
+def fillings(space: int, lengths: list[int], counts: dict[int, int]) -> Iterator[list[int]]:
+    """All undominated fillings of the space, those of least waste and larger lengths first.
 
-    ``lengths`` is ascending, ``counts`` says how many there are of each.
+    ``lengths`` is ascending, ``counts`` says how many there are of each. Which sums the
+    lengths up to each can make is kept as bits, so no branch is entered that leads nowhere.
+    A filling is dominated if one of its lengths can be exchanged for a larger one left over.
     """
-    best: list[int] = []
-    left = space
-    at = bisect_right(lengths, left)
-    while at:  # best fit: the incumbent
-        length = lengths[at - 1]
-        take = min(counts[length], left // length)
-        best += [length] * take
-        left -= take * length
-        at = min(at - 1, bisect_right(lengths, left))
-    least, seen = left, 0
-    smallest = lengths[0] if lengths else space + 1
-    waiting = [(space, len(lengths), [])]
-    while waiting and least and seen < BRANCHES:
-        left, limit, used = waiting.pop()
-        seen += 1
-        if left < smallest:
-            # Dominated if one of its lengths can be exchanged for a larger one left over.
-            if left < least and not any(
-                (at := bisect_right(lengths, x + left)) and lengths[at - 1] > x
-                and counts[lengths[at - 1]] > used.count(lengths[at - 1]) for x in set(used)
-            ):
-                best, least = used, left
-            continue
-        fits = bisect_right(lengths, left, 0, limit)
-        if not fits:
-            if left < least:
-                best, least = used, left
+    lengths = [x for x in lengths[: bisect_right(lengths, space)] if counts[x]]
+    within = (1 << space + 1) - 1
+    sums = [1]
+    for length in lengths:
+        now, left, step = sums[-1], min(counts[length], space // length), 1
+        while left:
+            take = min(step, left)
+            now |= now << take * length & within
+            left, step = left - take, 2 * step
+        sums.append(now)
+    for total in range(space, -1, -1):
+        if not sums[-1] >> total & 1:
             continue
-        # The largest lengths are tried first, so they are put on the stack last. A branch
-        # that only smaller lengths can fill has wasted what its multiples leave over.
-        branches = []
-        for at in range(fits, max(0, fits - 8), -1):
-            length = lengths[at - 1]
-            if used.count(length) < counts[length]:
-                rest = left - length
-                bound = rest if rest < smallest else 0
-                if bound < least:
-                    branches.append((rest, at, [*used, length]))
-        waiting.extend(reversed(branches))
-    return best
+        waiting = [(len(lengths), total, ())]
+        while waiting:
+            at, left, used = waiting.pop()
+            while at and left and sums[at - 1] >> left & 1 and lengths[at - 1] > left:
+                at -= 1
+            if not left:
+                own, spare = Counter(dict(used)), space - total
+                if not any(
+                    (to := bisect_right(lengths, x + spare)) and lengths[to - 1] > x
+                    and counts[lengths[to - 1]] > own[lengths[to - 1]] for x in own
+                ):
+                    yield [x for x, n in used for _ in range(n)]
+                continue
+            length, most = lengths[at - 1], min(counts[lengths[at - 1]], left // lengths[at - 1])
+            for take in range(most + 1):  # the most is put on the stack last, and tried first
+                if sums[at - 1] >> left - take * length & 1:
+                    waiting.append((at - 1, left - take * length, (*used, (length, take)) if take else used))
 
 
-def plan_packing(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[list[int], int]]:
+def best_filling(space: int, lengths: list[int], counts: dict[int, int]) -> list[int]:
+    """The lengths that fill the space with the least waste, larger ones first."""
+    used = best_fit(space, lengths, counts)
+    return used if sum(used) == space else next(fillings(space, lengths, counts))
+
+
+def least_sequences(counts: dict[int, int], capacity: int) -> int:
+    """A bound that no plan can go below: lengths over half the capacity need a sequence each,
+    and lengths from a least one on fit only into what those leave that have room for it.
+    """
+    number, tokens = np.zeros(capacity + 2, np.int64), np.zeros(capacity + 2, np.int64)
+    for length, n in counts.items():
+        number[length + 1], tokens[length + 1] = n, n * length
+    number, tokens = np.cumsum(number), np.cumsum(tokens)  # of lengths below
+    half, all_ = capacity // 2 + 1, capacity + 1
+    least = np.arange(half)
+    roomy = capacity - least + 1  # lengths from here on leave no room
+    alone, shared = number[all_] - number[roomy], number[roomy] - number[half]
+    room = shared * capacity - (tokens[roomy] - tokens[half])
+    rest = np.maximum(tokens[half] - tokens[least] - room, 0)
+    return int((alone + shared + -(-rest // capacity)).max())
+
+
+def best_fit_decreasing(counts: dict[int, int], capacity: int) -> list[tuple[list[int], int]]:
+    """The plan of best-fit decreasing; equal lengths go into equal sequences at once."""
+    open_: dict[int, list[list]] = {}  # by space left: patterns and how many sequences
+    spaces: list[int] = []
+
+    def add(space: int, pattern: list[int], times: int) -> None:
+        if space not in open_:
+            insort(spaces, space)
+        open_.setdefault(space, []).append([pattern, times])
+
+    for length in sorted(counts, reverse=True):
+        left = counts[length]
+        while left:
+            at = bisect_left(spaces, length)
+            if at == len(spaces):
+                each = min(capacity // length, left)
+                add(capacity - each * length, [length] * each, left // each)
+                left %= each
+                continue
+            space = spaces[at]
+            pattern, times = open_[space].pop()
+            if not open_[space]:
+                del open_[space], spaces[at]
+            each = min(space // length, left)
+            filled = min(times, left // each)
+            add(space - each * length, pattern + [length] * each, filled)
+            if times > filled:
+                add(space, pattern, times - filled)
+            left -= each * filled
+    return [(pattern, times) for parts in open_.values() for pattern, times in parts]
+
+
+def plan_packing(counts: dict[int, int], capacity: int = CAPACITY,
+                 nodes: int = NODES) -> list[tuple[list[int], int]]:
     """Patterns (lengths of a sequence, longest first) and how many sequences have each."""
     left = {length: n for length, n in counts.items() if n}
-    lengths = sorted(left)
-    plan = []
-    while lengths:
-        largest = lengths[-1]
+    best = best_fit_decreasing(left, capacity)
+    least, fewest = least_sequences(left, capacity), sum(times for _, times in best)
+    lengths, tokens = sorted(left), sum(length * n for length, n in left.items())
+    plan: list[tuple[list[int], int]] = []
+    used = 0
+
+    def choices() -> Iterator[tuple[list[int], int]]:
+        """Patterns that the largest length left can open; each as often as it goes, then once."""
+        largest, space = lengths[-1], capacity - lengths[-1]
         left[largest] -= 1
-        filling = best_filling(capacity - largest, lengths, left)
+        first = best_filling(space, lengths, left)
         left[largest] += 1
+        yield from often(largest, first)
+        # Only what the search comes back to keeps its sums.
+        for filling in fillings(space, list(lengths), {**left, largest: left[largest] - 1}):
+            if filling != first:
+                yield from often(largest, filling)
+
+    def often(largest: int, filling: list[int]) -> Iterator[tuple[list[int], int]]:
         pattern = sorted([largest, *filling], reverse=True)
-        times = min(left[x] // pattern.count(x) for x in set(pattern))
-        for x in pattern:
-            left[x] -= times
-        plan.append((pattern, times))
-        lengths = [x for x in lengths if left[x]]
-    return plan
+        times = min(left[x] // n for x, n in Counter(pattern).items())
+        yield pattern, times
+        if times > 1:
+            yield pattern, 1
+
+    def apply(pattern: list[int], times: int) -> None:
+        for x, n in Counter(pattern).items():
+            before = left[x]
+            left[x] -= n * times
+            if before > 0 >= left[x]:
+                del lengths[bisect_left(lengths, x)]
+            elif before <= 0 < left[x]:
+                insort(lengths, x)
+
+    waiting = [choices()] if lengths else []
+    budget = None  # the first way down is not counted
+    while waiting and fewest > least and (budget is None or budget > 0):
+        step = next(waiting[-1], None)
+        if step is None:
+            waiting.pop()
+            if plan:
+                pattern, times = plan.pop()
+                apply(pattern, -times)
+                used, tokens = used - times, tokens + times * sum(pattern)
+            continue
+        pattern, times = step
+        apply(pattern, times)
+        plan.append(step)
+        used, tokens = used + times, tokens - times * sum(pattern)
+        budget = budget and budget - 1
+        if not lengths and used < fewest:
+            best, fewest = list(plan), used
+        if lengths and (budget is None or used - (-tokens // capacity) < fewest):
+            waiting.append(choices())
+            continue
+        budget = nodes if budget is None else budget
+        plan.pop()
+        apply(pattern, -times)
+        used, tokens = used - times, tokens + times * sum(pattern)
+    return best
 
 
 def pack(cut: DataFrame, tie: list[str], capacity: int = CAPACITY) -> DataFrame:

@@ -168,6 +168,57 @@ def test_plans_of_hard_lengths_are_near_the_bound():
         assert sequences <= max(large, -(-sum(k * n for k, n in counts.items()) // 100)) * 1.03 + 1
 
 
+def test_all_lengths_are_tried_in_a_filling():
+    lengths = [500, *range(990, 998)]
+    counts = dict.fromkeys(lengths, 1) | {500: 2}
+    assert packing.best_filling(1000, lengths, counts) == [500, 500]
+
+
+def test_plans_are_never_longer_than_best_fit_decreasing():
+    def best_fit_decreasing(counts, capacity):
+        spaces = []
+        for length in sorted(Counter(counts).elements(), reverse=True):
+            fits = [(space, i) for i, space in enumerate(spaces) if space >= length]
+            if fits:
+                spaces[min(fits)[1]] -= length
+            else:
+                spaces.append(capacity - length)
+        return len(spaces)
+
+    rng = random.Random(4)
+    cases = [({209: 300, 999: 200, 777: 100, 203: 400}, 2048)]
+    cases += [(Counter(rng.randint(20, 60) for _ in range(120)), 100) for _ in range(10)]
+    for counts, capacity in cases:
+        plan = packing.plan_packing(dict(counts), capacity)
+        used = Counter()
+        for pattern, times in plan:
+            assert times > 0 and sum(pattern) <= capacity
+            used.update({x: n * times for x, n in Counter(pattern).items()})
+        assert used == Counter(counts)
+        sequences, decreasing = sum(times for _, times in plan), best_fit_decreasing(counts, capacity)
+        parts = packing.best_fit_decreasing(counts, capacity)
+        assert sum(times for _, times in parts) == decreasing
+        assert packing.least_sequences(counts, capacity) <= sequences <= decreasing
+
+
+def test_short_plans_are_the_shortest():
+    def shortest(lengths, spaces, capacity):
+        if not lengths:
+            return len(spaces)
+        first, rest = lengths[0], lengths[1:]
+        tried = [
+            shortest(rest, [*spaces[:i], space - first, *spaces[i + 1 :]], capacity)
+            for i, space in enumerate(spaces) if space >= first and space not in spaces[:i]
+        ]
+        return min([*tried, shortest(rest, [*spaces, capacity - first], capacity)])
+
+    rng = random.Random(7)
+    for _ in range(40):
+        lengths = sorted((rng.randint(4, 14) for _ in range(9)), reverse=True)
+        plan = packing.plan_packing(dict(Counter(lengths)), 24)
+        assert sum(times for _, times in plan) == shortest(lengths, [], 24)
+
+
 def test_the_cached_encoder_equals_the_tokenizer():
     import public_tokenizers
     from tokenizers import Tokenizer
