@@ -155,10 +155,15 @@ def search_segment(phrases: Phrases, starts: np.ndarray, terms: np.ndarray, ends
         doc = np.searchsorted(starts, lists[0], "right") - 1
         for moved, offset in zip(lists[1:], offsets[1:], strict=True):
             wanted = at + offset
-            after = moved[np.minimum(np.searchsorted(moved, wanted), len(moved) - 1)]
-            before = moved[np.maximum(np.searchsorted(moved, wanted, "right") - 1, 0)]
-            hit = np.where(abs(before - wanted) <= abs(after - wanted), before, after)
-            good = (abs(hit - wanted) <= slop) & (hit >= starts[doc]) & (hit < starts[doc + 1])
+            # The nearest on each side within the document; other documents' are not looked at.
+            first, last = starts[doc], starts[doc + 1] - 1
+            after = moved[np.minimum(np.searchsorted(moved, np.maximum(wanted, first)), len(moved) - 1)]
+            before = moved[np.maximum(np.searchsorted(moved, np.minimum(wanted, last), "right") - 1, 0)]
+            good_after, good_before = (
+                (abs(x - wanted) <= slop) & (x >= first) & (x <= last) for x in (after, before)
+            )
+            nearer = good_before & (~good_after | (abs(before - wanted) <= abs(after - wanted)))
+            hit, good = np.where(nearer, before, after), good_before | good_after
             at, doc, hit = at[good], doc[good], hit[good]
             lowest = np.minimum(lowest[good], hit)
             highest = np.maximum(highest[good], hit + 1)

@@ -48,6 +48,14 @@ def test_proximity(spark):
     assert set(found(4)) == {1, 2, 3}
 
 
+def test_proximity_at_the_ends_of_documents(spark):
+    rows = [(1, "gamma alpha beta"), (2, "gamma alpha beta"), (3, "gamma alpha beta")]
+    docs = spark.createDataFrame(rows, "key long, text string").coalesce(1)
+    items = spark.createDataFrame([(7, "alpha beta gamma")], "item_id long, text string")
+    found = decontamination.decontaminate(docs, items, slop=3).collect()
+    assert {r["key"]: r["n_hit"] for r in found if r["contaminated"]} == {1: 3, 2: 3, 3: 3}
+
+
 @pytest.mark.parametrize("which", ["odd_dir", "sf_dir"])
 @pytest.mark.parametrize("block", [256, 2])
 def test_near_classes(spark, request, which, block, monkeypatch):
