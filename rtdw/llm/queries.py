@@ -8,11 +8,14 @@ from rtdw.llm.decontamination import op5_decontamination
 from rtdw.llm.jaccard import op4_jaccard
 from rtdw.llm.language_id import op3_language_id
 from rtdw.llm.packing import op7_packing
+from rtdw.llm.periodic import op13_periodic
 from rtdw.llm.quality import op2_quality
 from rtdw.llm.repeats import op8_repeats
+from rtdw.llm.sharding import op12_sharding
 from rtdw.llm.simhash import op1_fingerprints
 from rtdw.llm.toxicity import op10_toxicity
 from rtdw.llm.warc import op6_warc
+from rtdw.llm.whitening import op11_whitening
 
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
@@ -25,6 +28,9 @@ QUERIES = {
     "op8_repeats": op8_repeats,
     "op9_preferences": op9_preferences,
     "op10_toxicity": op10_toxicity,
+    "op11_whitening": op11_whitening,
+    "op12_sharding": op12_sharding,
+    "op13_periodic": op13_periodic,
     "pipeline": run,
 }
 

@@ -182,3 +182,10 @@ def union_of_runs(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.
     starts, ends = starts[order], np.maximum.accumulate(ends[order])
     new = np.concatenate([[True], starts[1:] > ends[:-1]])
     return starts[new], ends[np.append(np.flatnonzero(new)[1:] - 1, len(ends) - 1)]
+
+
+def ranges(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The whole numbers of all ranges that begin at ``first``, one range after another."""
+    ends = np.cumsum(count, dtype=np.int64)
+    total = int(ends[-1]) if len(ends) else 0
+    return np.arange(total) + np.repeat(first - (ends - count), count)

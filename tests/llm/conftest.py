@@ -4,7 +4,8 @@ import random
 import pytest
 
 DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
-CLASHES = ["key", "text_key", "score", "kept", "k1", "n", "label", "root", "bucket", "set", "hashes"]
+CLASHES = ["key", "text_key", "score", "kept", "k1", "n", "label", "root", "bucket", "set", "hashes", "x", "row", "size", "shard",
+           "runs", "id", "component"]
 
 
 def words(seed, count):
@@ -53,13 +54,21 @@ def make_tables(spark, folder, documents, clashes=()):
         (4, 5, "assistant", "é\U0001F600"), (None, 0, "user", "lost"), (5, 0, "user", "q"), (5, 1, "assistant", None),
         (5, 2, "user", "w"), (5, 3, "assistant", "last"),
     ]
+    nan, inf = float("nan"), float("inf")
+    vectors = [(i, [((i * 7) % 11) / 4, ((i * 5) % 13) / 8 - 1, i / 3], i % 2) for i in range(30)]
+    vectors += [
+        (1, [1.5, 2.0, -0.25], 0), (1, [1.5, 2.0, -0.25], 0), (40, None, 1), (41, [1.0, None, 2.0], 1),
+        (42, [1.0, nan, 2.0], 1), (43, [inf, 0.0, 1.0], None), (None, [0.5, -0.0, 0.25], None), (44, [2.0], 1), (45, [], 0),
+        (46, [1e20, 0.0, 0.0], 0),
+    ]
     if not documents:
-        labels, pages, bench, talks = [], [], [], []
+        labels, pages, bench, talks, vectors = [], [], [], [], []
     write(spark, documents, DOCUMENTS, folder / "documents.parquet", clashes)
     write(spark, labels, "doc_id long, quality int, toxic int", folder / "labels.parquet", clashes)
     write(spark, pages, "page_id long, url string, html string", folder / "pages.parquet", clashes)
     write(spark, bench, "item_id long, text string", folder / "benchmark.parquet", clashes)
     write(spark, talks, "conv_id long, turn long, role string, text string", folder / "conversations.parquet", clashes)
+    write(spark, vectors, "vec_id long, embedding array<float>, label int", folder / "embeddings.parquet", clashes)
     return str(folder)
 
 
