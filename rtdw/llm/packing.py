@@ -18,6 +18,7 @@ does a number of sequences tried.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from bisect import bisect_left, bisect_right, insort
 from collections import Counter
@@ -29,60 +30,158 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rtdw.llm.tables import extended, stored, table
-from rtdw.llm.words import kept, pieces
+from rtdw.llm.words import LOWER, Texts, kept, mixed, pieces, prefix_sums, ranges
 
 CAPACITY = 2048
 END = 0
 #: Sequences tried after the first whole plan before the best plan so far is taken.
 NODES = 2000
-#: Chunks whose ids a worker remembers.
-CACHED_CHUNKS = 600_000
+#: Chunks whose ids a worker remembers, and the bytes of the longest of them.
+CACHED_CHUNKS = 1_500_000
+CHUNK_BYTES = 64
 ROWS_PER_TASK = 100_000
+#: Words that the tokenizer neither changes nor splits before it looks for tokens.
+PLAIN_WORD = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")
+
+
+def chunks_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Begin, end and text of each chunk of lowered texts.
+
+    Chunks end at blanks, at line ends and between an ASCII letter and an ASCII sign: the
+    tokenizer joins nothing across these.
+    """
+    blank = np.ones(len(data) + 1, bool)
+    blank[:-1] = (data == 0x20) | (data == 0x0A)
+    before = np.ones(len(data) + 1, bool)
+    before[1:] = blank[:-1]
+    letter, sign = (data >= 0x61) & (data <= 0x7A), IS_SIGN[data]
+    cut = np.zeros(len(data) + 1, bool)
+    cut[1:-1] = letter[:-1] & sign[1:]
+    cut[offsets[1:-1]] = True  # where one text ends and the next begins
+    begins = np.flatnonzero(~blank & (before | cut))
+    ends = np.flatnonzero(~before & (blank | cut))
+    return begins, ends, np.searchsorted(offsets, begins, "right") - 1
+
+
+def _signs() -> np.ndarray:
+    signs = np.zeros(256, bool)
+    for low, high in ((0x21, 0x2F), (0x3A, 0x40), (0x5B, 0x60), (0x7B, 0x7E)):
+        signs[low : high + 1] = True
+    return signs
+
+
+IS_SIGN = _signs()
 
 
 class Encoder:
     """Token ids of whole texts.
 
-    The tokenizer lowers letters, drops white space and never joins what that separates. So
-    a text is encoded by its chunks between blanks and line ends, and the ids of chunks are
-    remembered, the less recent half at a time being forgotten.
+    The tokenizer lowers letters, drops white space, and marks the last token of a word. A
+    text is encoded by its chunks, each different one once: their hashes are looked up in a
+    sorted array, and the ids of all chunks are gathered at once. The chunks that were met
+    least recently are forgotten.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-
-    def learn(self, chunks: list[str]) -> None:
-        """Encode many chunks as one text and tell their ids apart by where they begin."""
-        for first in range(0, len(chunks), 2048):
-            part = chunks[first : first + 2048]
+        self.plain = Tokenizer.from_file(path)
+        self.plain.normalizer = normalizers.Sequence([])
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[at for token, at in vocabulary.items() if token.endswith("</w>")]] = True
+        self.hashes, self.first = np.empty(0, np.uint64), np.empty(0, np.int64)
+        self.count, self.met = np.empty(0, np.int32), np.empty(0, np.int32)
+        self.ids, self.turn = np.empty(0, np.uint32), 0
+
+    def plain_ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of plain words and how many each has: a word ends where a token ends one."""
+        out = [
+            np.array(self.plain.encode(" ".join(words[at : at + 256]), add_special_tokens=False).ids, np.uint32)
+            for at in range(0, len(words), 256)
+        ]
+        ids = np.concatenate(out) if out else np.empty(0, np.uint32)
+        return ids, np.diff(np.flatnonzero(self.ends_word[ids]), prepend=-1)
+
+    def other_ids(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same of any chunks, told apart by where their tokens begin."""
+        out, counts = [np.empty(0, np.uint32)], [np.empty(0, np.int64)]
+        for at in range(0, len(chunks), 256):
+            part = chunks[at : at + 256]
             begins = np.cumsum([0, *(len(chunk) + 1 for chunk in part)])
             found = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
-            ids = np.array(found.ids, np.uint32)
             places = np.array([begin for begin, _ in found.offsets], np.int64)
-            cuts = np.searchsorted(places, begins).tolist()
-            for chunk, low, high in zip(part, cuts, cuts[1:], strict=False):
-                self.known[chunk] = ids[low:high].tobytes()
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
+            out.append(np.array(found.ids, np.uint32))
+            counts.append(np.diff(np.searchsorted(places, begins)))
+        return np.concatenate(out), np.concatenate(counts)
+
+    def learn(self, hashes: np.ndarray, chunks: list[bytes]) -> None:
+        """Add new chunks with their ids; hashes are ascending."""
+        words = [chunk.decode() for chunk in chunks]
+        plain = np.array([bool(PLAIN_WORD.fullmatch(word)) for word in words], bool)
+        ids, counts = self.plain_ids([w for w, own in zip(words, plain, strict=True) if own])
+        more, rest = self.other_ids([w for w, own in zip(words, plain, strict=True) if not own])
+        count = np.empty(len(words), np.int32)
+        count[plain], count[~plain] = counts, rest
+        first = np.empty(len(words), np.int64)
+        first[plain] = len(self.ids) + np.cumsum(counts) - counts
+        first[~plain] = len(self.ids) + len(ids) + np.cumsum(rest) - rest
+        at = np.searchsorted(self.hashes, hashes)
+        self.hashes, self.first = np.insert(self.hashes, at, hashes), np.insert(self.first, at, first)
+        self.count, self.met = np.insert(self.count, at, count), np.insert(self.met, at, self.turn)
+        self.ids = np.concatenate([self.ids, ids, more])
+
+    def forget(self) -> None:
+        """Keep the chunks of the last turns, at most half of what may be remembered."""
+        for age in (16, 4, 1, 0):
+            kept_ = self.met >= self.turn - age
+            if np.count_nonzero(kept_) <= CACHED_CHUNKS // 2:
+                break
+        else:
+            kept_ = np.zeros(len(self.met), bool)
+        self.ids = self.ids[ranges(self.first[kept_], self.count[kept_])]
+        self.hashes, self.count, self.met = self.hashes[kept_], self.count[kept_], self.met[kept_]
+        self.first = np.cumsum(self.count, dtype=np.int64) - self.count
+
+    def encode(self, texts: Texts) -> list[np.ndarray]:
         """The ids of each text, ended by ``END``."""
-        if len(self.known) > CACHED_CHUNKS // 2:
-            self.known, self.older = {}, self.known
-        split = []
-        for text in texts:
-            if "<|" not in text:  # special tokens differ by case
-                text = text.encode().lower().decode()  # A-Z only
-            split.append(text.replace("\n", " ").split(" "))
-        new = set().union(*split) - self.known.keys()
-        for chunk in new & self.older.keys():
-            self.known[chunk] = self.older[chunk]
-        self.learn(list(new - self.known.keys()))
-        end, get = np.array([END], np.uint32).tobytes(), self.known.__getitem__
-        return [np.frombuffer(b"".join(map(get, chunks)) + end, np.uint32) for chunks in split]
+        self.turn += 1
+        data, offsets = LOWER[texts.data], texts.offsets
+        begins, ends, text = chunks_of(data, offsets)
+        special = np.zeros(len(offsets) - 1, bool)  # special tokens differ by case
+        special[np.searchsorted(offsets, np.flatnonzero((data[:-1] == 0x3C) & (data[1:] == 0x7C)), "right") - 1] = True
+        alone = ends - begins > CHUNK_BYTES  # these seldom come back
+        usual = ~special[text]
+        begins, ends, text, alone = begins[usual], ends[usual], text[usual], alone[usual]
+        sums, inverse = prefix_sums(data)
+        keys = mixed((sums[ends] - sums[begins]) * inverse[begins])
+        different, one, which = np.unique(keys, return_index=True, return_inverse=True)
+        at = np.minimum(np.searchsorted(self.hashes, different), max(len(self.hashes) - 1, 0))
+        known = self.hashes[at] == different if len(self.hashes) else np.zeros(len(different), bool)
+        self.met[at[known]] = self.turn
+        new = np.flatnonzero(~known)
+        whole = data.tobytes()
+        self.learn(different[new], [whole[begins[i] : ends[i]] for i in one[new].tolist()])
+        at = np.searchsorted(self.hashes, different)[which]
+        ids = self.ids[ranges(self.first[at], self.count[at])]
+        own = np.bincount(text, self.count[at], len(offsets) - 1).astype(np.int64)
+        last = np.cumsum(own + 1)
+        out = np.full(int(last[-1]) if len(last) else 0, END, np.uint32)
+        out[np.arange(len(ids)) + np.repeat(np.arange(len(own)), own)] = ids
+        found = np.split(out, last[:-1])
+        for i in np.flatnonzero(special).tolist():
+            raw = texts.data[offsets[i] : offsets[i + 1]].tobytes().decode()
+            found[i] = np.array([*self.tokenizer.encode(raw, add_special_tokens=False).ids, END], np.uint32)
+        if np.any(alone):
+            self.met[at[alone]] = -(1 << 30)
+        if len(self.hashes) > CACHED_CHUNKS:
+            self.forget()
+        return found
 
 
 def token_pieces(docs: DataFrame, keep: list[str], vocabulary: str, text: str = "text",
@@ -99,8 +198,7 @@ def token_pieces(docs: DataFrame, keep: list[str], vocabulary: str, text: str =
         owner = f"encoder {vocabulary}"
         own = kept(owner, lambda: Encoder(vocabulary))
         for batch in batches:
-            for rows, _ in pieces(batch, "__text", owner=owner):
-                texts = rows.column("__text").fill_null("").to_pylist()
+            for rows, texts in pieces(batch, "__text", owner=owner):
                 at, out = [], []
                 for i, got in enumerate(own.encode(texts)):
                     for piece, start in enumerate(range(0, len(got), capacity)):
