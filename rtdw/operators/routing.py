@@ -19,10 +19,10 @@ def config_rows(changes: DataFrame) -> DataFrame:
     )
 
 
-def latest_config(rows: DataFrame, order: str = "seq") -> DataFrame:
+def latest_config(rows: DataFrame, order: str = "seq", keep_order: bool = False) -> DataFrame:
     """One config row per source table and operation, the newest. Deletes never remove one."""
     return newest(rows, ["source_table", "operate_type"], [order]).select(
-        *TABLE_PROCESS.fieldNames()
+        *TABLE_PROCESS.fieldNames(), *[order] * keep_order
     )
 
 

@@ -57,7 +57,8 @@ def bounces(
     Only a successor within ``timeout`` can cancel a bounce. So a device's rows
     are cut into time slices (default 30 timeouts), and the rows of the first
     ``timeout`` of a slice are also shown to the slice before it. That is exact
-    and keeps a device's whole history out of any single task.
+    and keeps a device's whole history out of any single task. Rows without ``ts`` have no
+    place in the order and are left out.
     """
     gap = duration_ms(timeout)
     length = duration_ms(slice_length) if slice_length else 30 * gap
@@ -68,7 +69,8 @@ def bounces(
     own = F.floor(at / length)
     seen_by = F.when(at - own * length < gap, F.array(own, own - 1)).otherwise(F.array(own))
     sliced = (
-        pages.withColumn("__own", own)
+        pages.where(at.isNotNull())
+        .withColumn("__own", own)
         .withColumn("__slice", F.explode(seen_by))
         .withColumn("__entry", entry)
         .withColumn("__report", entry & (F.col("__own") == F.col("__slice")))

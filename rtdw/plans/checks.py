@@ -487,6 +487,9 @@ CHECKS["stream_province_stats"] = CHECKS["province_stats"]
 CHECKS["stream_keyword_stats"] = CHECKS["keyword_count"]
 CHECKS["stream_log_split"] = CHECKS["log_split_counts"]
 CHECKS["stream_route_facts"] = CHECKS["route_fact_payload"]
+CHECKS["stream_route_early_facts"] = CHECKS["route_fact_payload"]
+CHECKS["stream_cdc_changelog"] = CHECKS["cdc_latest_table"]
+CHECKS["log_intake"] = CHECKS["scan_page_view"]
 CHECKS["stream_dim_upsert"] = f"""{_with(CHANGE)}
 SELECT after_id AS id, arg_max(name, seq) AS name,
        arg_max(level, seq) FILTER (WHERE type = 'insert') AS level

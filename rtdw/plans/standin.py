@@ -9,10 +9,15 @@ would keep.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 
 from rtdw.operators.wide import as_record
 from rtdw.schemas import ORDER_DETAIL, ORDER_INFO, PAYMENT_INFO, struct
+from rtdw.sources.lines import CHUNK, opened_store
 from rtdw.sources.rows import literal_table
 from rtdw.sources.tables import read_table
 
@@ -122,6 +127,70 @@ def raw_log(source: DataFrame, conversations: DataFrame) -> DataFrame:
     return lines.unionByName(conversations.selectExpr("text as value"))
 
 
+# Log files of several hosts, as a logger writes them: appended to and rolled once.
+ROWS_PER_HOST = 100_000
+
+
+def log_files(source: DataFrame, path: str) -> DataFrame:
+    """All log lines in two files per host, one for each half of the time; the host numbers.
+
+    Hosts are as many as the rows need, and each is written by one task.
+    """
+    lines = log_records(source).selectExpr("ts", "event_id", RECORD_TEXT)
+    rows, low, high = lines.selectExpr("count(*)", "min(ts)", "max(ts)").first().asDict().values()
+    hosts, middle = max(4, rows // ROWS_PER_HOST), ((low or 0) + (high or 0)) // 2
+    placed = lines.selectExpr("value", f"ts > {middle} as later", f"pmod(hash(event_id), {hosts}) as host", "ts")
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, base = opened_store(path)
+        store.create_dir(base)
+        out, now = None, None
+        for batch in batches:
+            for host, later, value in zip(*(batch.column(c).to_pylist() for c in ("host", "later", "value")), strict=True):
+                if (host, later) != now:
+                    if out:
+                        out.close()
+                    now = (host, later)
+                    out = store.open_output_stream(f"{base}/{host}.{int(later)}")
+                out.write((value + "\n").encode())
+        if out:
+            out.close()
+        yield pa.RecordBatch.from_arrays([pa.array([], pa.int64())], ["host"])
+
+    ordered = placed.repartition("host").sortWithinPartitions("host", "later", "ts").drop("ts")
+    ordered.mapInArrow(write, "host bigint").count()
+    return source.sparkSession.range(hosts).selectExpr("id as host", f"'{path}' as days")
+
+
+def next_log_state(hosts: DataFrame, path: str, step: int) -> None:
+    """The hosts' log folders after a step: a part of the first half of the time, all of it, the roll
+    and a part of the second half, all of that."""
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, base = opened_store(path)
+        for batch in batches:
+            for host, days in zip(batch.column("host").to_pylist(), batch.column("days").to_pylist(), strict=True):
+                whole = f"{opened_store(days)[1]}/{host}.{step // 2}"
+                folder = f"{base}/host={host}"
+                store.create_dir(folder)
+                log, rolled = f"{folder}/app.log", f"{folder}/app.2024-01-01.log"
+                there = [x.type == pyarrow.fs.FileType.File for x in store.get_file_info([log, rolled])]
+                if step == 2 and there == [True, False]:  # not again if the task is repeated
+                    store.move(log, rolled)
+                size = store.get_file_info(whole).size
+                if not size:
+                    continue
+                size = size if step % 2 else size * 3 // 5
+                with store.open_input_file(whole) as file, store.open_output_stream(f"{folder}/.next") as out:
+                    while size and (data := file.read(min(size, CHUNK))):
+                        out.write(data)
+                        size -= len(data)
+                store.move(f"{folder}/.next", log)
+        yield pa.RecordBatch.from_arrays([pa.array([], pa.int64())], ["host"])
+
+    hosts.mapInArrow(write, "host bigint").count()
+
+
 def search_pages(documents: DataFrame, source: DataFrame) -> DataFrame:
     """Pages for the keyword job: each document is a searched text, events are other pages."""
     searched = documents.selectExpr(

@@ -10,21 +10,23 @@ from __future__ import annotations
 
 from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
-from rtdw.operators import cdc, events, joins, routing, stats, wide
+from rtdw.functions import times
+from rtdw.operators import cdc, events, joins, parse, routing, stats, wide
 from rtdw.operators import visits as stored_visits
 from rtdw.plans import standin
 from rtdw.plans.queries import (
     ORDER_COLUMNS, PAYMENT_COLUMNS, PRODUCT_COLUMNS, query, topic_counts,
 )
 from rtdw.plans.standin import TABLES, table
-from rtdw.schemas import struct
+from rtdw.schemas import CHANGE, struct
 from rtdw.session import fresh_dir
 from rtdw.sinks.dims import DimensionStore
-from rtdw.streaming import jobs, keyed, visits
-from rtdw.streaming.run import run_to_table, start_batches
+from rtdw.sources import growing
+from rtdw.streaming import changelog, config, jobs, keyed, visits
+from rtdw.streaming.run import run_to_table, start_batches, start_table
 
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -222,6 +224,66 @@ def stream_route_facts(spark, d):
     return run_to_table(spark, routing.facts(_routed(spark, d)), "facts")
 
 
+@query
+def stream_cdc_changelog(spark, d):
+    """The changelog of the users, folded. It comes in two runs, the later half of the changes
+    first, so that many changes come after newer ones of their row."""
+    path, out, checkpoint = (fresh_dir(spark, f"changelog-{n}") for n in ("in", "out", "checkpoint"))
+    stored = standin.raw_changes(table(spark, d, "events"), table(spark, d, "orders"))
+    half = stored.agg(F.max("seq")).first()[0]
+    half = (half or 0) // 2
+    for part in (f"seq > {half}", f"seq <= {half} or seq % 3 = 0"):  # some come twice
+        cdc.normalise(stored).where(part).write.mode("append").parquet(path)
+        users = spark.readStream.schema(CHANGE).parquet(path).where("tableName = 'user_info'")
+        start_table(changelog.changelog(users), out, checkpoint, every=None).awaitTermination()
+    rows = spark.read.schema("kind string, tableName string, key string, seq bigint, after map<string,string>")
+    users = struct("id bigint, name string, level int, phone string")
+    return cdc.typed_rows(changelog.fold_changelog(rows.parquet(out)), users)
+
+
+@query
+def stream_route_early_facts(spark, d):
+    """Config and changes as streams; all changes come before their config."""
+    log, settings, out, checkpoint = (
+        fresh_dir(spark, f"early-{n}") for n in ("log", "config", "out", "checkpoint")
+    )
+    routes = standin.routes(spark)
+    image = F.create_map(*[x for c in routes.columns for x in (F.lit(c), F.col(c))])
+    routes = routes.select(image.alias("after"), F.lit(1).cast("bigint").alias("seq"))
+    changes = cdc.normalise(standin.raw_changes(table(spark, d, "events"), table(spark, d, "orders")))
+    changes.write.parquet(log)
+    for rows in (routes.where("false"), routes):
+        rows.write.mode("append").parquet(settings)
+        routed = config.route_with_state(
+            cdc.drop_deletes(spark.readStream.schema(changes.schema).parquet(log)),
+            spark.readStream.schema(routes.schema).parquet(settings),
+        )
+        start_table(routing.facts(routed), out, checkpoint, every=None).awaitTermination()
+    return spark.read.schema("topic string, value string").parquet(out)
+
+
+@query
+def log_intake(spark, d):
+    """Page views of log files that grow and are rolled while a stream reads them.
+
+    The stream is stopped and restarted after each step: a file that ends within a line, the
+    rest of its day, the roll with the start of the next file, and the rest of that one.
+    """
+    folder, out, checkpoint = (fresh_dir(spark, f"intake-{n}") for n in ("log", "out", "checkpoint"))
+    logs_ = standin.log_files(table(spark, d, "events"), fresh_dir(spark, "intake-days"))
+    for step in range(4):
+        standin.next_log_state(logs_, folder, step)
+        start_table(growing.read_growing(spark, folder), out, checkpoint, every=None).awaitTermination()
+    lines = spark.read.schema("value string").parquet(out)
+    return parse.page_view(lines).select(
+        F.col("common")["mid"].alias("mid"),
+        F.col("page")["page_id"].alias("page_id"),
+        F.col("page")["item"].alias("item"),
+        "ts",
+        times.ts_to_text("rt").alias("rt"),
+    )
+
+
 @query
 def stream_dim_upsert(spark, d):
     store = DimensionStore(spark, fresh_dir(spark, "dim"))

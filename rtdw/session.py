@@ -75,6 +75,44 @@ def listed_paths(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(found.getPath().toString() for found in store.globStatus(place) or [])
 
 
+def listed_files(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """Path and size of all files below a folder, hidden ones left out."""
+    place, store = _place(spark, path)
+    if not store.exists(place):
+        return []
+    files, out = store.listFiles(place, True), []
+    while files.hasNext():
+        found = files.next()
+        if not found.getPath().getName().startswith(("_", ".")):
+            out.append((found.getPath().toString(), found.getLen()))
+    return sorted(out)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    place, store = _place(spark, path)
+    return store.exists(place)
+
+
+def publish_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file that is either there as a whole or not at all."""
+    place, store = _place(spark, path)
+    hidden = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
+        place.getParent(), f".{place.getName()}.{uuid.uuid4().hex}"
+    )
+    out = store.create(hidden, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if not store.rename(hidden, place):
+        store.delete(hidden, False)
+        if not store.exists(place):
+            raise OSError(f"cannot write {path}")
+
+
+def _place(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 @contextlib.contextmanager
 def session_settings(spark: SparkSession, settings: Mapping[str, str]) -> Iterator[None]:
     """Set run-time settings for a block and put the old values back."""

@@ -29,9 +29,15 @@ def table_columns(config: DataFrame) -> DataFrame:
     """Per dimension table of the config: all columns that its rows name, and its key.
 
     The config has one row per source table and operation, which may name
-    different columns of one sink table.
+    different columns of one sink table. Columns stand in the order in which the rows,
+    by ``seq``, first name them; by name if the config has no ``seq``.
     """
-    columns = F.array_distinct(F.flatten(F.collect_list(F.split("sink_columns", ","))))
+    named = F.split("sink_columns", ",")
+    if "seq" in config.columns:
+        rows = F.array_sort(F.collect_list(F.struct("seq", "operate_type", named.alias("columns"))))
+        columns = F.array_distinct(F.flatten(F.transform(rows, lambda row: row["columns"])))
+    else:
+        columns = F.array_sort(F.array_distinct(F.flatten(F.collect_list(named))))
     return (
         config.where(F.col("sink_type") == DIM_SINK)
         .groupBy("sink_table")
@@ -40,7 +46,7 @@ def table_columns(config: DataFrame) -> DataFrame:
             F.coalesce(F.max("sink_pk"), F.lit(DEFAULT_PK)).alias("sink_pk"),
             F.max("sink_extend").alias("sink_extend"),
         )
-        .withColumn("sink_columns", F.array_join(F.array_sort("columns"), ","))
+        .withColumn("sink_columns", F.array_join("columns", ","))
     )
 
 

@@ -21,7 +21,11 @@ def _files(spark: SparkSession, rate: int | None):
 
 
 def read_folder(spark: SparkSession, path: str, rate: int | None = None) -> DataFrame:
-    """A folder of text files as a stream, e.g. the daily rolled application logs."""
+    """A folder of finished text files as a stream.
+
+    A file must not change after it is there; ``growing.read_growing`` reads logs that are
+    appended to and rolled.
+    """
     return _files(spark, rate).text(path)
 
 
@@ -33,17 +37,6 @@ def read_topic(
     return rows.where(F.col("topic") == topic).select("value")
 
 
-def read_batches(
-    spark: SparkSession, path: str, topic: str | None = None, rate: int | None = None
-) -> DataFrame:
-    """A folder written batch by batch (``batch=N``), optionally one topic of it."""
-    files = _files(spark, rate)
-    if topic is None:
-        return files.schema("value string, batch bigint").text(path).select("value")
-    rows = files.schema("value string, batch bigint, topic string").text(path)
-    return rows.where(F.col("topic") == topic).select("value")
-
-
 def read_kafka(
     spark: SparkSession,
     servers: str,

@@ -8,17 +8,19 @@ jobs before it, so each can be stopped and restarted by itself.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from rtdw import schemas
+from rtdw.functions.times import duration_ms
 from rtdw.operators import cdc, events, logs, parse, routing, stats, wide
 from rtdw.sinks import olap, topics as topic_sink
 from rtdw.sinks.dims import DimensionStore, create_tables, table_columns
-from rtdw.sources import changes, topics
+from rtdw.sources import changes, growing, handover, topics
 from rtdw.sources.dims import typed
-from rtdw.streaming import keyed, visits
+from rtdw.streaming import changelog, config, keyed, visits
 from rtdw.streaming.run import start_batches, start_table
 
 # Where each job writes, and the dimension tables by role.
@@ -35,6 +37,7 @@ VISITOR_STATS = "visitor_stats"
 PRODUCT_STATS = "product_stats"
 PROVINCE_STATS = "province_stats"
 KEYWORD_STATS = "keyword_stats"
+GMV_BY_DAY = "gmv_by_day"
 DIMENSIONS = {
     "user": ("DIM_USER_INFO", schemas.DIM_USER),
     "province": ("DIM_BASE_PROVINCE", schemas.DIM_PROVINCE),
@@ -51,7 +54,8 @@ class Warehouse:
 
     With ``servers`` the topics live in Kafka instead; dimensions, config and
     statistics stay in the folder. ``rate`` bounds what a micro-batch takes of a
-    topic, in files or Kafka records, so a backlog is worked off in steps.
+    topic, in files, batches or Kafka records, so a backlog is worked off in steps. With
+    ``growing_logs`` the application log's files may be appended to and rolled.
     """
 
     spark: SparkSession
@@ -61,6 +65,7 @@ class Warehouse:
     starting: str = "latest"
     database: str | None = None
     rate: int | None = None
+    growing_logs: bool = False
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -83,7 +88,7 @@ class Warehouse:
     def config(self) -> DataFrame:
         """The routing config as of now."""
         log = changes.stored_changes(self.spark, self.path(CONFIG_LOG))
-        return routing.latest_config(routing.config_rows(log))
+        return routing.latest_config(routing.config_rows(log), keep_order=True)
 
     def lines(self, topic: str) -> DataFrame:
         """A topic as a stream of text."""
@@ -94,9 +99,11 @@ class Warehouse:
         if topic in (logs.PAGE_TOPIC, logs.START_TOPIC, logs.DISPLAY_TOPIC):
             return topics.read_topic(self.spark, self.path(LOGS), topic, self.rate)
         if topic == ORDER_WIDE:
-            return topics.read_batches(self.spark, self.path(topic), rate=self.rate)
+            return handover.read_delivered(self.spark, self.path(topic), rate=self.rate)
         if topic.startswith("dwd_"):
-            return topics.read_batches(self.spark, self.path(FACTS), topic, self.rate)
+            return handover.read_delivered(self.spark, self.path(FACTS), topic, self.rate)
+        if topic == APP_LOG and self.growing_logs:
+            return growing.read_growing(self.spark, self.path(topic))
         return topics.read_folder(self.spark, self.path(topic), self.rate)
 
     def start_sending(self, rows: DataFrame, name: str):
@@ -114,7 +121,7 @@ class Warehouse:
             topic = None if "topic" in rows.columns else name
             topic_sink.send_batch(rows, self.servers, topic)
         else:
-            topic_sink.write_batch(rows, self.path(name), batch_id)
+            handover.deliver_batch(rows, self.path(name), batch_id)
 
     def pages(self) -> DataFrame:
         """The page log, with each record's text."""
@@ -162,20 +169,26 @@ def compact_dimensions(w: Warehouse, upto: int) -> None:
     w.dims.vacuum([table["sink_table"] for table in tables])
 
 
-def start_db_routing(w: Warehouse, compact_every: int = 100):
+def start_db_routing(w: Warehouse, compact_every: int = 100, early: bool = False, wait: str | None = None):
     """Change records to fact topics and the dimension store, by the config of the moment.
 
     Every ``compact_every`` batches the dimension changes are folded, so that a
     reader never folds more than that many batches. With a ``database`` a new
     config row also creates its dimension table there.
+
+    With ``early`` the config is a stream too, kept as state: records that come before their
+    config wait for it (at most ``wait``) instead of being left out.
     """
     log = changes.parse_changes(w.lines(DB_LOG))
+    if early:
+        config_log = changes.parse_changes(topics.read_folder(w.spark, w.path(CONFIG_LOG), w.rate))
+        log = config.route_with_state(cdc.drop_deletes(log), config_log, wait=wait)
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        config = w.config()
+        known = w.config()
         if w.database:
-            create_tables(w.spark, config, w.database)
-        routed = routing.route(cdc.drop_deletes(batch), config).persist()
+            create_tables(w.spark, known, w.database)
+        routed = (batch if early else routing.route(cdc.drop_deletes(batch), known)).persist()
         try:
             w.send_batch(routing.facts(routed), FACTS, batch_id)
             w.dims.append(routing.dimensions(routed), batch_id)
@@ -187,6 +200,13 @@ def start_db_routing(w: Warehouse, compact_every: int = 100):
     return start_batches(log, process, w.checkpoint(FACTS), w.every)
 
 
+def start_changelog(w: Warehouse, name: str, pk: str = "id"):
+    """A table's changes as rows to add and to retract, appended to a table."""
+    log = changes.parse_changes(w.lines(DB_LOG)).where(F.col("tableName") == name)
+    path = f"changelog/{name}"
+    return start_table(changelog.changelog(log, pk), w.path(path), w.checkpoint(path), every=w.every)
+
+
 def start_unique_visit(w: Warehouse):
     """Days are those of the session's time zone, as in the stored form."""
     kept = visits.unique_visits(w.pages()).select("value")
@@ -229,9 +249,7 @@ def chain_lateness(w: Warehouse, layers: int, base: int) -> str:
     ``base`` seconds of the rules themselves, and for each layer two trigger
     intervals: one to pick its input up and one to close on the watermark.
     """
-    words = (w.every or "0 seconds").split()
-    seconds = int(words[0]) * {"second": 1, "minute": 60, "hour": 3600}[words[1].rstrip("s")]
-    return f"{base + 2 * layers * seconds} seconds"
+    return f"{1000 * base + 2 * layers * duration_ms(w.every or '0 seconds')} milliseconds"
 
 
 def start_visitor_stats(
@@ -275,7 +293,12 @@ def start_product_stats(
     def process(batch: DataFrame, batch_id: int) -> None:
         dims = w.dimensions("sku", "spu", "trademark", "category3")
         filled = stats.product_dimensions(batch, dims, how)
-        olap.write_parquet(filled, schemas.PRODUCT_STATS, w.path(PRODUCT_STATS), batch_id)
+        filled = filled.persist()
+        try:
+            olap.write_parquet(filled, schemas.PRODUCT_STATS, w.path(PRODUCT_STATS), batch_id)
+            olap.write_by_day(stats.gmv_by_day(filled), w.path(GMV_BY_DAY), batch_id)
+        finally:
+            filled.unpersist()
 
     measured = stats.product_measures(unified, width, lateness)
     return start_batches(measured, process, w.checkpoint(PRODUCT_STATS), w.every)
@@ -305,6 +328,12 @@ def stored_stats(w: Warehouse, name: str, schema: T.StructType) -> DataFrame:
     return w.spark.read.schema(schema).parquet(w.path(name))
 
 
-def gmv(w: Warehouse, day=None) -> DataFrame:
-    """Total order amount of a day, from the product statistics."""
-    return stats.gmv(stored_stats(w, PRODUCT_STATS, schemas.PRODUCT_STATS), day)
+def gmv(w: Warehouse, day: date | None = None) -> DataFrame:
+    """Total order amount of a day (default today), from the roll-up by day.
+
+    Only that day's partition is listed and read: one row per micro-batch that closed windows
+    of the day.
+    """
+    rows = olap.read_by_day(w.spark, w.path(GMV_BY_DAY), "gmv decimal(26,2)")
+    wanted = F.lit(int(f"{day:%Y%m%d}")) if day else F.date_format(F.current_date(), "yyyyMMdd").cast("int")
+    return rows.where(F.col("day") == wanted).agg(F.sum("gmv").cast(schemas.MONEY_SUM).alias("gmv"))

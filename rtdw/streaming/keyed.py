@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from rtdw.functions.times import duration_ms
@@ -94,11 +94,12 @@ class EntryTimeout(StatefulProcessor):
 
     Rows wait until the watermark has passed their timeout, then their order is
     final and they go, whatever their kind: a timer is set for the oldest row
-    held. So state holds the device's rows of one timeout plus the lateness, and
-    the text of entry rows only.
+    held. So state holds the rows of one device and time slice, of one timeout plus the
+    lateness, and the text of entry rows only. Rows that belong to the slice after this one
+    (``own`` is false) only tell what follows.
     """
 
-    COLUMNS = ("ts", "tie", "entry", "value")
+    COLUMNS = ("ts", "tie", "entry", "own", "value")
 
     def __init__(self, timeout_ms: int) -> None:
         self.timeout = timeout_ms
@@ -106,14 +107,14 @@ class EntryTimeout(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.waiting = handle.getListState(
-            "waiting", "ts bigint, tie string, entry boolean, value string"
+            "waiting", "ts bigint, tie string, entry boolean, own boolean, value string"
         )
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         oldest = None
         for batch in rows:
-            held = batch[list(self.COLUMNS)].astype({"ts": "int64", "entry": "bool"})
-            held["value"] = held["value"].where(held["entry"], None)
+            held = batch[list(self.COLUMNS)].astype({"ts": "int64", "entry": "bool", "own": "bool"})
+            held["value"] = held["value"].where(held["entry"] & held["own"], None)
             self.waiting.appendList(list(held.astype(object).itertuples(index=False, name=None)))
             low = int(held["ts"].min())
             oldest = low if oldest is None else min(oldest, low)
@@ -135,7 +136,7 @@ class EntryTimeout(StatefulProcessor):
             self.handle.registerTimer(int(kept["ts"].iloc[0]) + self.timeout)
         else:
             self.waiting.clear()
-        reported = rows[done & rows["entry"].astype(bool) & alone]
+        reported = rows[done & rows["entry"].astype(bool) & rows["own"].astype(bool) & alone]
         if len(reported):
             yield reported[["ts", "value"]].assign(mid=key[0])[["mid", "ts", "value"]]
 
@@ -144,22 +145,40 @@ class EntryTimeout(StatefulProcessor):
 
 
 def bounces(
-    pages: DataFrame, timeout: str = "10 seconds", lateness: str = "2 seconds"
+    pages: DataFrame,
+    timeout: str = "10 seconds",
+    lateness: str = "2 seconds",
+    slice_length: str | None = None,
 ) -> DataFrame:
     """Streaming form of the bounce rule.
 
     ``pages`` has mid, ts (millis), entry, tie (orders rows of equal ``ts``) and
-    value; the result has mid, ts and value of the bounced entries.
+    value; the result has mid, ts and value of the bounced entries. Rows without ``ts`` have
+    no place in the order and are left out, as in the stored form.
+
+    State is kept by device and time slice (default 30 timeouts), so a device with very many
+    rows is spread over tasks. The rows of the first ``timeout`` of a slice also go to the
+    slice before it, which is all that its last rows can need; each row is reported by
+    the slice that it lies in.
     """
+    gap = duration_ms(timeout)
+    length = duration_ms(slice_length) if slice_length else 30 * gap
+    if length < gap:
+        raise ValueError("a time slice must not be shorter than the timeout")
+    own = F.floor(F.col("ts") / length)
+    seen_by = F.when(F.col("ts") - own * length < gap, F.array(own, own - 1)).otherwise(F.array(own))
     return (
-        pages.selectExpr(
+        pages.where("ts is not null")
+        .selectExpr(
             "mid", "ts", "cast(tie as string) as tie", "entry", "value",
             "timestamp_millis(ts) as rt",
         )
         .withWatermark("rt", lateness)
-        .groupBy("mid")
+        .withColumns({"own": own, "slice": F.explode(seen_by)})
+        .withColumn("own", F.expr("own = slice"))
+        .groupBy("mid", "slice")
         .transformWithStateInPandas(
-            statefulProcessor=EntryTimeout(duration_ms(timeout)),
+            statefulProcessor=EntryTimeout(gap),
             outputStructType="mid string, ts bigint, value string",
             outputMode="append",
             timeMode="eventTime",
