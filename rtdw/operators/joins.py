@@ -39,8 +39,9 @@ def interval_join(
     On stored tables the key is extended by a time slice: a right row lies in
     one slice, a left row is sent to each slice its interval touches (with the
     default of 16 interval lengths about 1.06 on average). So a key with very
-    many rows on both sides is compared slice by slice only. On streams the
-    plain condition is kept, because it is what bounds the join state.
+    many rows on both sides is compared slice by slice only. On streams the slice
+    is added to the key in the same way. The plain condition on the times stays beside it,
+    as it bounds the join state; the times are those columns that carry the watermarks.
     """
     low, high = duration_ms(lower), duration_ms(upper)
     if low > high:
@@ -50,10 +51,15 @@ def interval_join(
         f" and r.{right_time} >= l.{left_time} + {_interval(low)}"
         f" and r.{right_time} <= l.{left_time} + {_interval(high)}"
     )
-    if left.isStreaming or right.isStreaming:
-        return left.alias("l").join(right.alias("r"), F.expr(match), "inner")
-
     length = duration_ms(slice_length) if slice_length else max(16 * (high - low), 1)
+    if left.isStreaming or right.isStreaming:
+        touched = f"""explode(sequence(floor((unix_millis({left_time}) + ({low})) / {length}),
+                                       floor((unix_millis({left_time}) + ({high})) / {length})))"""
+        return left.selectExpr("*", f"{touched} as __slice").alias("l").join(
+            right.selectExpr("*", f"floor(unix_millis({right_time}) / {length}) as __slice").alias("r"),
+            F.expr(f"{match} and l.__slice = r.__slice"),
+            "inner",
+        )
     # The join time comes out of the generator too: a null check on a plain
     # column would be pushed to the scan and parse the time text once more.
     sliced_left = left.selectExpr(

@@ -489,7 +489,16 @@ CHECKS["stream_log_split"] = CHECKS["log_split_counts"]
 CHECKS["stream_route_facts"] = CHECKS["route_fact_payload"]
 CHECKS["stream_route_early_facts"] = CHECKS["route_fact_payload"]
 CHECKS["stream_cdc_changelog"] = CHECKS["cdc_latest_table"]
-CHECKS["log_intake"] = CHECKS["scan_page_view"]
+CHECKS["stream_log_intake"] = CHECKS["scan_page_view"]
+CHECKS["stream_visit_expiry"] = f"""{_with(LOG)}
+SELECT mid, strftime(make_timestamp(max(ts) * 1000), '%Y-%m-%d') AS last_day FROM log
+WHERE kind <> 'signup' AND last_page_id IS NOT NULL
+  AND ts > (SELECT (min(ts) + max(ts)) // 2 FROM log WHERE kind <> 'signup')
+GROUP BY mid"""
+CHECKS["stream_order_sketches"] = """
+SELECT strftime(date_trunc('quarter', l_shipdate), '%Y-%m-%d') AS quarter,
+       count(DISTINCT l_orderkey) AS order_ct, true AS near, true AS bounded
+FROM lineitem GROUP BY ALL"""
 CHECKS["stream_dim_upsert"] = f"""{_with(CHANGE)}
 SELECT after_id AS id, arg_max(name, seq) AS name,
        arg_max(level, seq) FILTER (WHERE type = 'insert') AS level

@@ -8,6 +8,7 @@ results read them as tables, as the running jobs do.
 
 from __future__ import annotations
 
+import time
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -22,7 +23,7 @@ from rtdw.plans.queries import (
 )
 from rtdw.plans.standin import TABLES, table
 from rtdw.schemas import CHANGE, struct
-from rtdw.session import fresh_dir
+from rtdw.session import fresh_dir, session_settings
 from rtdw.sinks.dims import DimensionStore
 from rtdw.sources import growing
 from rtdw.streaming import changelog, config, jobs, keyed, visits
@@ -224,6 +225,46 @@ def stream_route_facts(spark, d):
     return run_to_table(spark, routing.facts(_routed(spark, d)), "facts")
 
 
+@query
+def stream_visit_expiry(spark, d):
+    """The devices still in the state of the daily visits after the earlier ones' has expired.
+
+    The pages come in two halves by time, the second when the state of the first is too old.
+    """
+    path, out, checkpoint = (fresh_dir(spark, f"expiry-{n}") for n in ("in", "out", "checkpoint"))
+    pages = standin.page_log(table(spark, d, "events")).selectExpr("*", "cast(event_id as string) as value")
+    low, high = pages.agg(F.min("ts"), F.max("ts")).first()
+    middle = ((low or 0) + (high or 0)) // 2
+    for half in (f"ts <= {middle}", f"ts > {middle}"):
+        pages.where(half).write.mode("append").parquet(path)
+        stream = spark.readStream.schema(pages.schema).parquet(path)
+        kept = visits.unique_visits_with_expiry(stream, ttl="2 seconds")
+        # In processing time a run without new input would never be the last.
+        with session_settings(spark, {"spark.sql.streaming.noDataMicroBatches.enabled": "false"}):
+            start_table(kept, out, checkpoint, every=None).awaitTermination(300)
+        time.sleep(3)
+    return visits.stored_state(spark, checkpoint, "last").selectExpr("key.mid as mid", "value.value.day as last_day")
+
+
+@query
+def stream_order_sketches(spark, d):
+    """Different orders per quarter, merged from the sketches of days and products, and whether
+    they are near the exact count and their size is bounded."""
+    details = events.orders(standin.order_detail(stream_table(spark, d, "lineitem")))
+    far = with_far_row(details, ts=FAR_MS, sku_id=-1, order_id=-1)
+    daily = run_to_table(spark, stats.order_sketches(far, standin.DAY), "order-sketches")
+    quarter = F.date_format(F.date_trunc("quarter", "stt"), "yyyy-MM-dd").alias("quarter")
+    merged = stats.merged_orders(daily, quarter)
+    stored = events.orders(standin.order_detail(table(spark, d, "lineitem")))
+    of_row = F.date_format(F.date_trunc("quarter", F.timestamp_millis("ts")), "yyyy-MM-dd").alias("quarter")
+    exact = stored.groupBy(of_row).agg(F.count_distinct("order_id").alias("exact"))
+    near = F.abs(F.col("order_ct") - F.col("exact")) <= 0.05 * F.col("exact")
+    return merged.join(exact, "quarter").select(
+        "quarter", F.col("exact").alias("order_ct"), near.alias("near"),
+        (F.octet_length("orders") <= 4200).alias("bounded"),
+    )
+
+
 @query
 def stream_cdc_changelog(spark, d):
     """The changelog of the users, folded. It comes in two runs, the later half of the changes
@@ -263,7 +304,7 @@ def stream_route_early_facts(spark, d):
 
 
 @query
-def log_intake(spark, d):
+def stream_log_intake(spark, d):
     """Page views of log files that grow and are rolled while a stream reads them.
 
     The stream is stopped and restarted after each step: a file that ends within a line, the

@@ -20,6 +20,7 @@ from rtdw.sinks import olap, topics as topic_sink
 from rtdw.sinks.dims import DimensionStore, create_tables, table_columns
 from rtdw.sources import changes, growing, handover, topics
 from rtdw.sources.dims import typed
+from rtdw.session import session_settings
 from rtdw.streaming import changelog, config, keyed, visits
 from rtdw.streaming.run import start_batches, start_table
 
@@ -197,7 +198,10 @@ def start_db_routing(w: Warehouse, compact_every: int = 100, early: bool = False
         if batch_id % compact_every == compact_every - 1:
             compact_dimensions(w, batch_id)
 
-    return start_batches(log, process, w.checkpoint(FACTS), w.every)
+    # What expires by the clock would keep a run over the input there is from ending.
+    clock = {"spark.sql.streaming.noDataMicroBatches.enabled": "false"} if wait and not w.every else {}
+    with session_settings(w.spark, clock):
+        return start_batches(log, process, w.checkpoint(FACTS), w.every)
 
 
 def start_changelog(w: Warehouse, name: str, pk: str = "id"):

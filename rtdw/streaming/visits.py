@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Iterator
 
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+from rtdw.functions.times import duration_ms
 from rtdw.operators.visits import LAST_PAGE, MID, visit_condition
 
 
@@ -32,3 +37,60 @@ def unique_visits(
     )
     once = dated.dropDuplicates(["__mid", "__day", "__part"])
     return once.dropDuplicates(["__mid", "__day"]).drop("__mid", "__day", "__part")
+
+
+class DailyVisit(StatefulProcessor):
+    """Keeps a device's last counted day for some time after it was written."""
+
+    def __init__(self, ttl_ms: int) -> None:
+        self.ttl = ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.last = handle.getValueState("last", "day string", ttlDurationMs=self.ttl)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        day = self.last.get()[0] if self.last.exists() else None
+        first = pd.DataFrame()
+        for batch in rows:  # no more than a row a day is held
+            both = pd.concat([first, batch], ignore_index=True)
+            first = both.sort_values(["at", "tie"]).drop_duplicates("day")
+        new = first[first["day"] > day] if day is not None else first
+        if len(new):
+            self.last.update((new["day"].max(),))
+            yield new[["mid", "day", "value"]]
+
+    def close(self) -> None:
+        pass
+
+
+def unique_visits_with_expiry(
+    pages: DataFrame,
+    ttl: str = "1 day",
+    mid: str = MID,
+    ts: str = "ts",
+    value: str = "value",
+    visits: str = "non_entry",
+    last_page: str = LAST_PAGE,
+) -> DataFrame:
+    """(mid, day, value) of the first counted row per device and day, days ascending.
+
+    State is one day per device and goes ``ttl`` (processing time) after it was last written,
+    with or without new input of the device; no watermark is needed. A device that comes
+    back later is counted anew. Within a micro-batch "first" follows event time.
+    """
+    rows = pages.where(visit_condition(visits, last_page)).select(
+        F.col(mid).alias("mid"), F.col(ts).alias("at"), F.xxhash64(F.col(value)).alias("tie"),
+        F.date_format(F.timestamp_millis(F.col(ts)), "yyyy-MM-dd").alias("day"), F.col(value).alias("value"),
+    )
+    return rows.where("mid is not null and day is not null").groupBy("mid").transformWithStateInPandas(
+        statefulProcessor=DailyVisit(duration_ms(ttl)),
+        outputStructType="mid string, day string, value string",
+        outputMode="append",
+        timeMode="processingTime",
+    )
+
+
+def stored_state(spark: SparkSession, checkpoint: str, variable: str) -> DataFrame:
+    """What a stopped query holds in a state variable: its keys and values."""
+    reader = spark.read.format("statestore").option("stateVarName", variable)
+    return reader.load(checkpoint)
