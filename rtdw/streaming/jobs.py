@@ -253,7 +253,8 @@ def chain_lateness(w: Warehouse, layers: int, base: int) -> str:
     ``base`` seconds of the rules themselves, and for each layer two trigger
     intervals: one to pick its input up and one to close on the watermark.
     """
-    return f"{1000 * base + 2 * layers * duration_ms(w.every or '0 seconds')} milliseconds"
+    late = 1000 * base + 2 * layers * duration_ms(w.every or "0 seconds")
+    return f"{late} milliseconds" if late % 1000 else f"{late // 1000} seconds"
 
 
 def start_visitor_stats(

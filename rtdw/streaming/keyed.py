@@ -99,7 +99,7 @@ class EntryTimeout(StatefulProcessor):
     (``own`` is false) only tell what follows.
     """
 
-    COLUMNS = ("ts", "tie", "entry", "own", "value")
+    COLUMNS = ("ts", "tie", "entry", "value", "own")
 
     def __init__(self, timeout_ms: int) -> None:
         self.timeout = timeout_ms
@@ -107,12 +107,14 @@ class EntryTimeout(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.waiting = handle.getListState(
-            "waiting", "ts bigint, tie string, entry boolean, own boolean, value string"
+            "waiting", "ts bigint, tie string, entry boolean, value string, own boolean"
         )
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         oldest = None
         for batch in rows:
+            if "own" not in batch:  # a device that is not cut into slices
+                batch = batch.assign(own=True)
             held = batch[list(self.COLUMNS)].astype({"ts": "int64", "entry": "bool", "own": "bool"})
             held["value"] = held["value"].where(held["entry"] & held["own"], None)
             self.waiting.appendList(list(held.astype(object).itertuples(index=False, name=None)))

@@ -194,7 +194,8 @@ def test_lateness_of_any_interval(spark):
     def lateness(every):
         return jobs.chain_lateness(jobs.Warehouse(spark, "x", every=every), 2, 16)
 
-    assert lateness(None) == "16000 milliseconds"
-    assert lateness("500 milliseconds") == "18000 milliseconds"
-    assert lateness("1 minute") == "256000 milliseconds"
-    assert lateness("1 day") == f"{16_000 + 4 * 86_400_000} milliseconds"
+    assert lateness(None) == "16 seconds"
+    assert lateness("500 milliseconds") == "18 seconds"
+    assert lateness("125 milliseconds") == "16500 milliseconds"
+    assert lateness("1 minute") == "256 seconds"
+    assert lateness("1 day") == f"{16 + 4 * 86_400} seconds"
