@@ -499,7 +499,11 @@ CHECKS["stream_order_sketches"] = """
 SELECT strftime(date_trunc('quarter', l_shipdate), '%Y-%m-%d') AS quarter,
        count(DISTINCT l_orderkey) AS order_ct, true AS near, true AS bounded
 FROM lineitem GROUP BY ALL"""
+CHECKS["dim_keyed_lookup"] = f"""{_with(DIM)}
+SELECT CAST(id AS VARCHAR) AS id, gender, birthday FROM dim_user
+WHERE id = (SELECT user_id FROM events ORDER BY ts DESC, event_id DESC LIMIT 1)"""
 CHECKS["stream_dim_upsert"] = f"""{_with(CHANGE)}
 SELECT after_id AS id, arg_max(name, seq) AS name,
        arg_max(level, seq) FILTER (WHERE type = 'insert') AS level
 FROM user_change WHERE type <> 'delete' GROUP BY after_id"""
+CHECKS["dim_keyed_upsert"] = CHECKS["stream_dim_upsert"]

@@ -13,6 +13,7 @@ from rtdw.plans import standin
 from rtdw.plans.standin import table
 from rtdw.schemas import MONEY_SUM, ORDER_INFO, PRODUCT_STATS, struct
 from rtdw.session import fresh_dir
+from rtdw.sinks.keyed_dims import KeyedDimension
 from rtdw.sinks.topics import as_text
 from rtdw.sources.topics import records
 
@@ -494,6 +495,27 @@ def dim_upsert_latest(spark, d):
     return cdc.upsert(stored, routed)
 
 
+@query
+def dim_keyed_upsert(spark, d):
+    """User changes applied to the bucketed store in two batches, the later changes first."""
+    routed = routing.dimensions(routing.route(_changes(spark, d), standin.routes(spark)))
+    store = KeyedDimension(spark, fresh_dir(spark, "keyed-users"), ["id", "name", "level"])
+    half = (routed.agg(F.max("seq")).first()[0] or 0) // 2
+    for batch, part in enumerate((f"seq > {half}", f"seq <= {half}")):
+        store.apply(routed.where(part), batch)
+    return store.read()
+
+
+@query
+def dim_keyed_lookup(spark, d):
+    """The user of the last event, from its bucket of a store that holds all users."""
+    users = standin.dim_user(table(spark, d, "customer"))
+    store = KeyedDimension(spark, fresh_dir(spark, "keyed-lookup"), users.columns)
+    store.load(users)
+    last = table(spark, d, "events").agg(F.max_by("user_id", F.struct("ts", "event_id"))).first()[0]
+    return store.lookup_one(str(last))
+
+
 # Routing
 
 

@@ -18,6 +18,7 @@ from rtdw.functions.times import duration_ms
 from rtdw.operators import cdc, events, logs, parse, routing, stats, wide
 from rtdw.sinks import olap, topics as topic_sink
 from rtdw.sinks.dims import DimensionStore, create_tables, table_columns
+from rtdw.sinks.keyed_dims import KeyedDimension
 from rtdw.sources import changes, growing, handover, topics
 from rtdw.sources.dims import typed
 from rtdw.session import session_settings
@@ -56,7 +57,9 @@ class Warehouse:
     With ``servers`` the topics live in Kafka instead; dimensions, config and
     statistics stay in the folder. ``rate`` bounds what a micro-batch takes of a
     topic, in files, batches or Kafka records, so a backlog is worked off in steps. With
-    ``growing_logs`` the application log's files may be appended to and rolled.
+    ``growing_logs`` the application log's files may be appended to and rolled. With
+    ``keyed_dims`` dimensions are kept in buckets of their keys, for tables so large that
+    folding them as a whole takes too long.
     """
 
     spark: SparkSession
@@ -67,6 +70,7 @@ class Warehouse:
     database: str | None = None
     rate: int | None = None
     growing_logs: bool = False
+    keyed_dims: bool = False
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -78,9 +82,14 @@ class Warehouse:
     def dims(self) -> DimensionStore:
         return DimensionStore(self.spark, self.path("dim"))
 
+    def keyed_dimension(self, table: str, columns: list[str], pk: str = "id") -> KeyedDimension:
+        return KeyedDimension(self.spark, self.path(f"dim_keyed/{table}"), columns, pk)
+
     def dimension(self, role: str) -> DataFrame:
         """The current rows of a dimension; read anew by every micro-batch that asks."""
         table, schema = DIMENSIONS[role]
+        if self.keyed_dims:
+            return typed(self.keyed_dimension(table, schema.fieldNames()).read(), schema)
         return typed(self.dims.read(table, schema.fieldNames()), schema)
 
     def dimensions(self, *roles: str) -> dict[str, DataFrame]:
@@ -159,6 +168,16 @@ def start_log_split(w: Warehouse):
     return w.start_sending(split_log(w.lines(APP_LOG)), LOGS)
 
 
+def apply_dimensions(w: Warehouse, rows: DataFrame, batch_id: int, vacuum: bool) -> None:
+    """One batch of routed dimension changes into the bucketed tables, those with changes only."""
+    changed = {row["sink_table"] for row in rows.select("sink_table").distinct().collect()}
+    for table in table_columns(w.config()).where(F.col("sink_table").isin(sorted(changed))).collect():
+        store = w.keyed_dimension(table["sink_table"], table["columns"], table["sink_pk"])
+        store.apply(rows.where(F.col("sink_table") == table["sink_table"]), batch_id)
+        if vacuum:
+            store.vacuum()
+
+
 def compact_dimensions(w: Warehouse, upto: int) -> None:
     """Fold the dimension changes up to a batch into a new base, for all tables of the config.
 
@@ -175,7 +194,8 @@ def start_db_routing(w: Warehouse, compact_every: int = 100, early: bool = False
 
     Every ``compact_every`` batches the dimension changes are folded, so that a
     reader never folds more than that many batches. With a ``database`` a new
-    config row also creates its dimension table there.
+    config row also creates its dimension table there. Bucketed dimensions
+    (``w.keyed_dims``) are up to date after each batch; old versions go as often.
 
     With ``early`` the config is a stream too, kept as state: records that come before their
     config wait for it (at most ``wait``) instead of being left out.
@@ -186,16 +206,19 @@ def start_db_routing(w: Warehouse, compact_every: int = 100, early: bool = False
         log = config.route_with_state(cdc.drop_deletes(log), config_log, wait=wait)
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        known = w.config()
+        known, last = w.config(), batch_id % compact_every == compact_every - 1
         if w.database:
             create_tables(w.spark, known, w.database)
         routed = (batch if early else routing.route(cdc.drop_deletes(batch), known)).persist()
         try:
             w.send_batch(routing.facts(routed), FACTS, batch_id)
-            w.dims.append(routing.dimensions(routed), batch_id)
+            if w.keyed_dims:
+                apply_dimensions(w, routing.dimensions(routed), batch_id, vacuum=last)
+            else:
+                w.dims.append(routing.dimensions(routed), batch_id)
         finally:
             routed.unpersist()
-        if batch_id % compact_every == compact_every - 1:
+        if last and not w.keyed_dims:
             compact_dimensions(w, batch_id)
 
     # What expires by the clock would keep a run over the input there is from ending.
