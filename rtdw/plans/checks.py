@@ -83,12 +83,23 @@ SOME_SPUS = (
     "(SELECT dim_spu.* FROM dim_spu JOIN supplier ON id = s_suppkey WHERE s_acctbal >= 1000)"
 )
 
+# The columns that only the lookups fill; the queries that look up compare them.
 ORDER = """
+no_dimension AS (
+  SELECT CAST(NULL AS VARCHAR) AS province_name, CAST(NULL AS VARCHAR) AS province_area_code,
+         CAST(NULL AS VARCHAR) AS province_iso_code, CAST(NULL AS VARCHAR) AS province_3166_2_code,
+         CAST(NULL AS INTEGER) AS user_age, CAST(NULL AS VARCHAR) AS user_gender,
+         CAST(NULL AS BIGINT) AS spu_id, CAST(NULL AS BIGINT) AS tm_id,
+         CAST(NULL AS BIGINT) AS category3_id, CAST(NULL AS VARCHAR) AS spu_name,
+         CAST(NULL AS VARCHAR) AS tm_name, CAST(NULL AS VARCHAR) AS category3_name),
 order_info AS (
   SELECT o_orderkey AS id, CAST(c_nationkey AS BIGINT) AS province_id,
          CASE o_orderstatus WHEN 'O' THEN '1001' WHEN 'P' THEN '1002' ELSE '1004' END AS order_status,
          o_custkey AS user_id, CAST(o_totalprice AS DECIMAL(16,2)) AS total_amount,
          CAST(0 AS DECIMAL(16,2)) AS activity_reduce_amount,
+         CAST(CAST(o_totalprice AS DECIMAL(16,2)) * CAST(0.05 AS DECIMAL(4,2)) AS DECIMAL(16,2))
+           AS coupon_reduce_amount,
+         CAST(length(o_orderpriority) AS DECIMAL(16,2)) AS feight_fee,
          strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS create_time
   FROM orders JOIN customer ON o_custkey = c_custkey),
 order_detail AS (
@@ -97,7 +108,10 @@ order_detail AS (
          CAST(l_quantity AS BIGINT) AS sku_num,
          strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS create_time,
          CAST(CAST(l_extendedprice AS DECIMAL(16,2)) * CAST(l_discount AS DECIMAL(4,2))
-              AS DECIMAL(16,2)) AS split_coupon_amount
+              AS DECIMAL(16,2)) AS split_coupon_amount,
+         'sku ' || l_partkey AS sku_name,
+         CAST(CAST(l_extendedprice AS DECIMAL(16,2)) * CAST(l_tax AS DECIMAL(4,2))
+              AS DECIMAL(16,2)) AS split_activity_amount
   FROM lineitem),
 payment_info AS (
   SELECT o_orderkey AS id, o_orderkey AS order_id, o_custkey AS user_id,
@@ -105,7 +119,8 @@ payment_info AS (
          CASE WHEN o_totalprice < 100000 THEN '1101' WHEN o_totalprice < 300000 THEN '1102'
               ELSE '1103' END AS payment_type,
          strftime(o_orderdate + to_seconds(CAST(floor(o_totalprice / 300) AS BIGINT)),
-                  '%Y-%m-%d %H:%M:%S') AS create_time
+                  '%Y-%m-%d %H:%M:%S') AS create_time,
+         CASE WHEN payment_type <> '1103' THEN create_time END AS callback_time
   FROM orders WHERE o_orderstatus <> 'O'),
 order_wide AS (
   SELECT d.id AS detail_id, o.id AS order_id, d.sku_id, d.order_price, d.sku_num, o.province_id,
@@ -113,8 +128,11 @@ order_wide AS (
          d.split_coupon_amount,
          CAST(d.order_price - d.split_coupon_amount AS DECIMAL(16,2)) AS split_total_amount,
          o.create_time, substr(o.create_time, 1, 10) AS create_date,
-         substr(o.create_time, 12, 2) AS create_hour
-  FROM order_info o JOIN order_detail d ON o.id = d.order_id
+         substr(o.create_time, 12, 2) AS create_hour, d.sku_name, o.coupon_reduce_amount,
+         o.total_amount AS original_total_amount, o.feight_fee, d.split_activity_amount,
+         CAST(NULL AS DECIMAL(16,2)) AS split_feight_fee, CAST(NULL AS VARCHAR) AS expire_time,
+         CAST(NULL AS VARCHAR) AS operate_time, no_dimension.*
+  FROM order_info o CROSS JOIN no_dimension JOIN order_detail d ON o.id = d.order_id
    AND strptime(d.create_time, '%Y-%m-%d %H:%M:%S')
        BETWEEN strptime(o.create_time, '%Y-%m-%d %H:%M:%S') - INTERVAL 60 DAY
            AND strptime(o.create_time, '%Y-%m-%d %H:%M:%S') + INTERVAL 60 DAY),
@@ -122,8 +140,10 @@ payment_wide AS (
   SELECT p.id AS payment_id, p.subject, p.payment_type, p.create_time AS payment_create_time,
          w.detail_id, p.order_id, w.sku_id, w.order_price, w.sku_num, w.province_id,
          w.order_status, p.user_id, p.total_amount, w.split_total_amount,
-         w.create_time AS order_create_time
-  FROM payment_info p JOIN order_wide w ON p.order_id = w.order_id
+         w.create_time AS order_create_time, p.callback_time, w.sku_name,
+         w.activity_reduce_amount, w.coupon_reduce_amount, w.original_total_amount, w.feight_fee,
+         w.split_feight_fee, w.split_activity_amount, w.split_coupon_amount, no_dimension.*
+  FROM payment_info p CROSS JOIN no_dimension JOIN order_wide w ON p.order_id = w.order_id
    AND strptime(w.create_time, '%Y-%m-%d %H:%M:%S')
        BETWEEN strptime(p.create_time, '%Y-%m-%d %H:%M:%S') - INTERVAL 15 MINUTE
            AND strptime(p.create_time, '%Y-%m-%d %H:%M:%S'))
@@ -275,6 +295,25 @@ SELECT topic, page_id, is_new, count(*) AS n FROM (
   UNION ALL SELECT 'dwd_display_log', page_id, NULL FROM display
   UNION ALL SELECT 'dirty_log', NULL, NULL FROM conversations)
 GROUP BY ALL""",
+    "log_split_lines": f"""{_with(LOG, FIXED)}
+SELECT 'dwd_start_log' AS topic, NULL AS mid, NULL AS is_new, NULL AS vc, NULL AS ch, NULL AS ar,
+       NULL AS last_page_id, NULL AS during_time, NULL AS ts, 'icon' AS entry, NULL AS displays,
+       NULL AS page_id, NULL AS item, NULL AS item_type, NULL AS line_md5
+FROM fixed WHERE kind = 'signup'
+UNION ALL
+SELECT 'dwd_page_log', f.mid, f.is_new, l.vc, l.ch, l.ar, l.last_page_id,
+       CAST(l.during_time AS VARCHAR), CAST(l.ts AS VARCHAR), NULL,
+       CASE WHEN l.kind = 'view' THEN '["' || l.k || '","' || (l.k + 1) || '","' || l.k || '"]' END,
+       l.page_id, l.item, l.item_type, NULL
+FROM fixed f JOIN log l ON f.event_id = l.event_id WHERE f.kind <> 'signup'
+UNION ALL
+SELECT 'dwd_display_log', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, page_id,
+       item, item_type, NULL
+FROM display
+UNION ALL
+SELECT 'dirty_log', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL,
+       md5(text)
+FROM conversations""",
     "display_explode": f"""{_with(LOG)}
 SELECT page_id, item, item_type, count(*) AS n FROM display GROUP BY ALL""",
     "new_visitor_fix": f"""{_with(LOG, FIXED)}
@@ -485,6 +524,7 @@ CHECKS["stream_visitor_stats"] = CHECKS["visitor_stats"]
 CHECKS["stream_product_stats"] = CHECKS["product_stats"]
 CHECKS["stream_province_stats"] = CHECKS["province_stats"]
 CHECKS["stream_keyword_stats"] = CHECKS["keyword_count"]
+CHECKS["stream_log_split_lines"] = CHECKS["log_split_lines"]
 CHECKS["stream_log_split"] = CHECKS["log_split_counts"]
 CHECKS["stream_route_facts"] = CHECKS["route_fact_payload"]
 CHECKS["stream_route_early_facts"] = CHECKS["route_fact_payload"]

@@ -117,6 +117,26 @@ def topic_counts(rows):
     )
 
 
+def line_fields(rows):
+    """The fields of each split line; a line that is no record has a hash instead."""
+    dirty = F.col("topic") == logs.DIRTY_TOPIC
+    paths = {
+        "mid": "$.common.mid", "is_new": "$.common.is_new", "vc": "$.common.vc", "ch": "$.common.ch",
+        "ar": "$.common.ar", "last_page_id": "$.page.last_page_id", "during_time": "$.page.during_time",
+        "ts": "$.ts", "entry": "$.entry", "displays": "$.displays[*].item",
+    }
+    of_page = {c: (f"$.page.{c}", f"$.{c}") for c in ("page_id", "item", "item_type")}
+
+    def field(*path):
+        return F.when(~dirty, F.coalesce(*(F.get_json_object("value", p) for p in path)))
+
+    return rows.select(
+        "topic", *(field(path).alias(c) for c, path in paths.items()),
+        *(field(*both).alias(c) for c, both in of_page.items()),
+        F.when(dirty, F.md5("value")).alias("line_md5"),
+    )
+
+
 # Sources and parsing
 
 
@@ -155,6 +175,14 @@ def log_split_counts(spark, d):
     return topic_counts(rows)
 
 
+@query
+def log_split_lines(spark, d):
+    """Every line that the split writes, by the fields of its text; dirty ones by its hash."""
+    lines = standin.raw_log(table(spark, d, "events"), table(spark, d, "conversations"))
+    fixed = logs.fix_new_visitor(logs.read_log(lines), order=("ts", "line_id"))
+    return line_fields(logs.split_topics(fixed))
+
+
 @query
 def display_explode(spark, d):
     rows = standin.log_records(table(spark, d, "events")).selectExpr(
@@ -207,26 +235,14 @@ def bounce_detail(spark, d):
 # Wide tables and dimensions
 
 
-ORDER_COLUMNS = (
-    "detail_id", "order_id", "sku_id", "order_price", "sku_num", "province_id",
-    "order_status", "user_id", "total_amount", "activity_reduce_amount",
-    "split_coupon_amount", "split_total_amount", "create_time", "create_date", "create_hour",
-)
-PAYMENT_COLUMNS = (
-    "payment_id", "subject", "payment_type", "payment_create_time", "detail_id", "order_id",
-    "sku_id", "order_price", "sku_num", "province_id", "order_status", "user_id",
-    "total_amount", "split_total_amount", "order_create_time",
-)
-
-
 @query
 def order_wide(spark, d):
-    return _order_wide(spark, d).select(*ORDER_COLUMNS)
+    return _order_wide(spark, d)
 
 
 @query
 def payment_wide(spark, d):
-    return _payment_wide(spark, d, _order_wide(spark, d)).select(*PAYMENT_COLUMNS)
+    return _payment_wide(spark, d, _order_wide(spark, d))
 
 
 def _dimensions_with_gaps(spark, d):

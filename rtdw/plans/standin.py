@@ -222,7 +222,9 @@ def order_info(orders: DataFrame, customer: DataFrame) -> DataFrame:
             "user_id": "o_custkey",
             "total_amount": money("o_totalprice"),
             "activity_reduce_amount": "0",
+            "coupon_reduce_amount": money(f"{money('o_totalprice')} * cast(0.05 as decimal(4,2))"),
             "original_total_amount": money("o_totalprice"),
+            "feight_fee": "length(o_orderpriority)",
             "create_time": "cast(o_orderdate as string)",
         },
     )
@@ -240,6 +242,8 @@ def order_detail(lineitem: DataFrame) -> DataFrame:
             "sku_id": "l_partkey",
             "order_price": price,
             "sku_num": "l_quantity",
+            "sku_name": "concat('sku ', l_partkey)",
+            "split_activity_amount": money(f"{price} * cast(l_tax as decimal(4,2))"),
             "create_time": "cast(l_shipdate as string)",
             "split_total_amount": f"{price} - {off}",
             "split_coupon_amount": off,
@@ -262,6 +266,7 @@ def payment_info(orders: DataFrame) -> DataFrame:
             "payment_type": "case when o_totalprice < 100000 then '1101' "
             "when o_totalprice < 300000 then '1102' else '1103' end",
             "create_time": f"cast(o_orderdate + {later} as string)",
+            "callback_time": f"case when o_totalprice < 300000 then cast(o_orderdate + {later} as string) end",
         },
     )
 

@@ -18,9 +18,7 @@ from rtdw.functions import times
 from rtdw.operators import cdc, events, joins, parse, routing, stats, wide
 from rtdw.operators import visits as stored_visits
 from rtdw.plans import standin
-from rtdw.plans.queries import (
-    ORDER_COLUMNS, PAYMENT_COLUMNS, PRODUCT_COLUMNS, query, topic_counts,
-)
+from rtdw.plans.queries import PRODUCT_COLUMNS, line_fields, query, topic_counts
 from rtdw.plans.standin import TABLES, table
 from rtdw.schemas import CHANGE, struct
 from rtdw.session import fresh_dir, session_settings
@@ -107,7 +105,7 @@ def stream_bounce_detail(spark, d):
 
 @query
 def stream_order_wide(spark, d):
-    return run_to_table(spark, _order_wide(spark, d), "order-wide").select(*ORDER_COLUMNS)
+    return run_to_table(spark, _order_wide(spark, d), "order-wide")
 
 
 def _order_wide_topic(spark, d):
@@ -123,7 +121,7 @@ def _payment_wide(spark, d, orders_wide):
 @query
 def stream_payment_wide(spark, d):
     joined = _payment_wide(spark, d, _order_wide_topic(spark, d))
-    return run_to_table(spark, joined, "payment").select(*PAYMENT_COLUMNS)
+    return run_to_table(spark, joined, "payment")
 
 
 @query
@@ -220,6 +218,14 @@ def stream_log_split(spark, d):
     return topic_counts(run_to_table(spark, jobs.split_log(lines), "log-split"))
 
 
+@query
+def stream_log_split_lines(spark, d):
+    lines = standin.raw_log(
+        stream_table(spark, d, "events"), stream_table(spark, d, "conversations")
+    )
+    return line_fields(run_to_table(spark, jobs.split_log(lines), "log-split"))
+
+
 @query
 def stream_route_facts(spark, d):
     return run_to_table(spark, routing.facts(_routed(spark, d)), "facts")
