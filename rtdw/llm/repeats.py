@@ -8,9 +8,13 @@ make a context, the bytes that they cover together.
 Contexts that occur twice as a whole repeat all their windows. Of anchors with several
 different contexts one copy of each context is fetched, and anchors are dealt to shards of
 bounded size. In a shard, interval expansion on the Burrows-Wheeler transform of the
-contexts tells which windows begin with a common prefix of at least ``least`` bytes. An
-anchor with too many contexts for one shard has its windows compared by 128-bit hashes
-instead, which Spark counts in parts; that is as exact, but has no bound per anchor.
+contexts tells which windows begin with a common prefix of at least ``least`` bytes.
+
+An anchor with too many contexts for one shard is made longer. Its windows are parted by the
+anchor's place in them, into ranges of ``width`` places; all windows of a range share the
+``least - width + 1`` bytes around the anchor, and equal windows agree in their range and in
+these bytes, which are the new anchor. ``width`` is halved until no anchor is too large; at
+width 1 the anchor is the whole window, and an anchor has one context only.
 """
 
 from __future__ import annotations
@@ -24,7 +28,7 @@ from pyspark.sql import functions as F
 
 from rtdw.llm.suffixes import long_repeats
 from rtdw.llm.tables import extended, stored, table
-from rtdw.llm.words import Texts, mixed, pieces, prefix_sums, texts_of, union_of_runs
+from rtdw.llm.words import Texts, mixed, pieces, prefix_sums, union_of_runs
 
 LEAST = 400
 GRAM = 64
@@ -32,7 +36,7 @@ GRAM = 64
 #: words of the sample documents 99.5 % have so many bytes.
 PASSAGE_BYTES = 200
 PASSAGE_GRAM = 40
-#: Bytes of contexts in a shard, and of one anchor's before they are compared by hashes.
+#: Bytes of contexts in a shard, and of one anchor's before it is made longer.
 SHARD_BYTES = 1 << 20
 ANCHOR_BYTES = 4 << 20
 #: Windows looked at together; longer texts are taken in overlapping parts.
@@ -168,35 +172,92 @@ def _span_batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["k1", "k2", "low", "high"])
 
 
-def hashed_repeats(found: DataFrame, least: int) -> DataFrame:
-    """The same spans by counting each window's hashes: for anchors of any number of contexts."""
+def longer_anchors(found: DataFrame, least: int, gram: int, width: int) -> DataFrame:
+    """The contexts cut into parts whose windows have the anchor in one range of ``width`` places.
+
+    ``found``: anchor, context, k1, k2, start, windows, n, bytes; the same columns come out.
+    ``anchor`` becomes a hash of the range, of the bytes that all its windows share and of the
+    old anchor.
+    """
+    names = ["anchor", "context", "k1", "k2", "start", "windows", "n", "bytes"]
 
-    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = texts_of(batch.column("bytes").cast(pa.large_binary()).view(pa.large_string()))
-            for row in range(len(batch)):
-                data = texts.data[texts.offsets[row] : texts.offsets[row + 1]]
-                count = len(data) - least + 1
-                hashes = []
-                for turned in (data, np.bitwise_xor(data, np.uint8(0x5A))):
-                    sums, inverse = prefix_sums(turned)
-                    hashes.append(mixed((sums[least:] - sums[:count]) * inverse[:count]).view(np.int64))
-                k1, k2, start, n = (batch.column(c)[row].as_py() for c in ("k1", "k2", "start", "n"))
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(hashes[0]), pa.array(hashes[1]), pa.array(np.full(count, k1)),
-                    pa.array(np.full(count, k2)), pa.array(start + np.arange(count)), pa.array(np.full(count, n)),
-                ], ["h1", "h2", "k1", "k2", "start", "n"])
-
-    each = stored(
-        found.select("k1", "k2", "start", "n", "bytes").mapInArrow(
-            windows, "h1 long, h2 long, k1 long, k2 long, start long, n long"
-        ),
-        "hashed-windows",
-    )
-    again = each.groupBy("h1", "h2").agg(F.count("*").alias("times")).filter("times > 1").drop("times")
-    return each.filter("n = 1").join(again, ["h1", "h2"]).select(
-        "k1", "k2", F.col("start").alias("low"), (F.col("start") + least).alias("high")
-    )
+            out = [_longer(row, least, gram, width) for row in batch.to_pylist()]
+            rows, heads = np.arange(len(out)), [len(part[0]) for part in out]
+            own = pa.array(np.repeat(rows, heads))
+            anchor, context, start, windows = (
+                np.concatenate([part[k] for part in out]) if out else np.zeros(0, np.int64) for k in range(4)
+            )
+            yield pa.RecordBatch.from_arrays([
+                pa.array(anchor), pa.array(context), batch.column("k1").take(own), batch.column("k2").take(own),
+                pa.array(start), pa.array(windows.astype(np.int32)), batch.column("n").take(own),
+                pa.array([x for part in out for x in part[4]], pa.binary()),
+            ], names)
+
+    schema = "anchor long, context long, k1 long, k2 long, start long, windows int, n long, bytes binary"
+    return found.select(*names).mapInArrow(cut, schema)
+
+
+def _longer(row: dict, least: int, gram: int, width: int) -> tuple:
+    """Anchors, contexts, starts, numbers of windows and bytes of a context's parts."""
+    data = np.frombuffer(row["bytes"], np.uint8)
+    place = int(window_anchors(data[:least], least, gram)[0][0])
+    ranges = (place - np.arange(row["windows"])) // width
+    lows = np.flatnonzero(np.append(True, ranges[1:] != ranges[:-1]))
+    counts = np.diff(np.append(lows, len(ranges)))
+    sums, inverse = prefix_sums(data)
+
+    def hashes(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        return mixed((sums[high] - sums[low]) * inverse[low])
+
+    each = ranges[lows]
+    shared = hashes(place - each * width, place - (each + 1) * width + 1 + least)
+    old = np.full(len(each), row["anchor"]).view(np.uint64)
+    anchor = mixed(shared ^ mixed(old ^ mixed(each.astype(np.uint64))))
+    ends = lows + counts - 1 + least
+    shape = (place - lows).astype(np.uint64) << np.uint64(32) | counts.astype(np.uint64)
+    context = mixed(hashes(lows, ends) ^ mixed(shape))
+    parts = [data[a:b].tobytes() for a, b in zip(lows, ends, strict=True)]
+    return anchor.view(np.int64), context.view(np.int64), row["start"] + lows, counts, parts
+
+
+def compared_contexts(found: DataFrame, least: int, gram: int) -> DataFrame:
+    """Spans (k1, k2, low, high) of the windows of contexts that repeat within their anchor.
+
+    ``found``: anchor, context, k1, k2, start, windows, n, bytes, each context once.
+    """
+    bytes_of = F.sum(F.octet_length("bytes").cast("long"))
+    width, done, spans = least - gram + 1, None, None
+    while width > 1:
+        large = found.groupBy("anchor").agg(bytes_of.alias("size")).filter(F.col("size") > ANCHOR_BYTES)
+        large = stored(large.select("anchor"), "large-anchors")
+        if not large.limit(1).count():
+            break
+        width = (width + 1) // 2
+        small = found.join(large, "anchor", "left_anti")
+        done = small if done is None else done.unionByName(small)
+        parts = stored(
+            longer_anchors(found.join(large, "anchor", "left_semi"), least, gram, width), "context-parts"
+        )
+        counted = stored(
+            parts.groupBy("anchor", "context").agg(
+                F.sum("n").alias("total"), F.first(F.struct("k1", "k2", "start", "windows", "bytes")).alias("one")
+            ).select("anchor", "context", F.col("total").alias("n"), "one.*"),
+            "part-counts",
+        )
+        # Parts that come twice as a whole; those of contexts with n > 1 are known already.
+        again = parts.filter("n = 1").join(
+            counted.filter("n > 1").select("anchor", "context"), ["anchor", "context"]
+        ).select("k1", "k2", F.col("start").alias("low"), (F.col("start") + F.col("windows") - 1 + least).alias("high"))
+        spans = again if spans is None else spans.unionByName(again)
+        several = counted.groupBy("anchor").agg(F.count("*").alias("contexts")).filter("contexts > 1")
+        found = stored(counted.join(several.select("anchor"), "anchor", "left_semi"), "context-bytes")
+    rest = found if done is None else done.unionByName(found)
+    shards = -(-(rest.agg(bytes_of).first()[0] or 1) // SHARD_BYTES)
+    shard = F.pmod(F.xxhash64("anchor"), F.lit(shards)).alias("shard")
+    compared = shard_repeats(rest.select("*", shard), least)
+    return compared if spans is None else compared.unionByName(spans)
 
 
 def repeated_spans(docs: DataFrame, least: int = LEAST, gram: int = GRAM) -> DataFrame:
@@ -222,20 +283,10 @@ def repeated_spans(docs: DataFrame, least: int = LEAST, gram: int = GRAM) -> Dat
         F.transform("starts", lambda low: F.struct(low.alias("low"), (low + high).alias("high"))).alias("spans"),
     )
     asked = grouped.filter("several").drop("several")
-    size = (F.col("windows") + least).cast("long")
-    total = asked.agg(F.sum(size)).first()[0] or 0
-    if not total:
+    if not asked.limit(1).count():
         return copied
-    large = asked.groupBy("anchor").agg(F.sum(size).alias("size")).filter(F.col("size") > ANCHOR_BYTES)
-    large = stored(large.select("anchor", F.lit(True).alias("large")), "large-anchors")
-    found = stored(
-        fetch_contexts(docs, asked, least).join(large, "anchor", "left"), "context-bytes"
-    )
-    shards = -(-total // SHARD_BYTES)
-    shard = F.pmod(F.xxhash64("anchor"), F.lit(shards)).alias("shard")
-    spans = shard_repeats(found.filter("large is null").select("*", shard), least)
-    if large.limit(1).count():
-        spans = spans.unionByName(hashed_repeats(found.filter("large"), least))
+    found = stored(fetch_contexts(docs, asked, least), "context-bytes")
+    spans = compared_contexts(found, least, gram)
     return copied.unionByName(spans.select("k1", "k2", F.array(F.struct("low", "high")).alias("spans")))
 
 

@@ -113,7 +113,7 @@ def test_long_repeats_of_random_texts():
         assert suffixes.long_repeats(text, least).tolist() == [times[s] > 1 for s in strings]
 
 
-@pytest.mark.parametrize("shards", [(1 << 20, 4 << 20), (600, 1 << 20), (1 << 20, 0)])
+@pytest.mark.parametrize("shards", [(1 << 20, 4 << 20), (600, 1 << 20), (600, 3000), (1 << 20, 0)])
 def test_repeats(spark, odd_dir, digest, shards, monkeypatch):
     monkeypatch.setattr(repeats, "SHARD_BYTES", shards[0])
     monkeypatch.setattr(repeats, "ANCHOR_BYTES", shards[1])
