@@ -71,11 +71,9 @@ class Phrases:
         return Phrases(self.items, self.item, pick(self.terms), pick(self.offsets), self.sizes)
 
 
-def build_index(docs: DataFrame, key: str = "key", text: str = "text",
-                terms: np.ndarray | None = None) -> DataFrame:
-    """The positional index of whole texts: one row per segment.
+def build_index(docs: DataFrame, key: str = "key", text: str = "text") -> DataFrame:
+    """The positional index of whole texts, all their terms: one row per segment.
 
-    ``terms`` (sorted hashes) limits it to the terms that a later search can ask for.
     ``docs`` holds the segment's documents with their numbers of words, ``starts`` their
     first positions.
     """
@@ -93,10 +91,6 @@ def build_index(docs: DataFrame, key: str = "key", text: str = "text",
                     np.arange(len(rows)), np.diff(words.offsets)
                 )
                 hashes = words.hashes
-                if terms is not None:
-                    place = np.minimum(np.searchsorted(terms, hashes), max(len(terms) - 1, 0))
-                    asked = terms[place] == hashes if len(terms) else np.zeros(len(hashes), bool)
-                    hashes, at = hashes[asked], at[asked]
                 order = np.argsort(hashes, kind="stable")
                 own, counts = np.unique(hashes[order], return_counts=True)
                 deltas = np.diff(at[order].astype(np.int32), prepend=np.int32(0))
@@ -212,13 +206,14 @@ def search(index: DataFrame, phrases: Phrases, slop: int = 0) -> DataFrame:
     return index.select("segment", "starts", "terms", "ends", "deltas").mapInArrow(find, schema)
 
 
-def item_blocks(items: DataFrame) -> Iterator[tuple[list, list, bool]]:
-    """Ids and texts of the items (and whether these are all), in blocks small enough to be sent to every task."""
+def item_blocks(items: DataFrame) -> Iterator[tuple[list, list]]:
+    """Ids and texts of the different items, in blocks small enough to be sent to every task."""
+    items = items.distinct()  # equal rows have one hash, so no number of blocks would part them
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = -(-total // BLOCK_BYTES)
     for block in range(blocks):
         rows = items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block).collect()
-        yield [row["item"] for row in rows], [row["text"] for row in rows], blocks == 1
+        yield [row["item"] for row in rows], [row["text"] for row in rows]
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, key: str = "key", text: str = "text",
@@ -234,16 +229,14 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, key: str = "key", text:
     items = benchmark.select(
         F.col(item_id).cast("string").alias("item"), F.col(item_text).cast("string").alias("text")
     ).filter("text is not null")
-    index, found = None, None
-    for names, texts, alone in item_blocks(items):
+    index = stored(build_index(docs, key, text), "index")
+    found = None
+    for names, texts in item_blocks(items):
         phrases = Phrases.of(names, texts, window)
-        asked = phrases.vocabulary()
-        if index is None:  # with more blocks, more terms will be asked for
-            index = stored(build_index(docs, key, text, asked if alone else None), "index")
-        more = search(index, phrases.rarest_first(*term_counts(index, asked)), slop)
+        ordered = phrases.rarest_first(*term_counts(index, phrases.vocabulary()))
+        more = search(index, ordered, slop)
         found = more if found is None else found.unionByName(more)
-    if index is None:
-        index = stored(build_index(docs, key, text, np.empty(0, np.uint64)), "index")
+    if found is None:
         found = search(index, Phrases.of([], [], window), slop)
     every = index.select("segment", F.posexplode("docs").alias("doc", "entry")).select(
         "segment", "doc", F.col(f"entry.{key}").alias(key), "entry.n_words"
