@@ -418,12 +418,15 @@ def with_revisits(pages: DataFrame, least: int = MIN_REVISIT_BYTES) -> DataFrame
 
     Of equal payloads of at least so many bytes, the smallest page_id is the response; rows
     that repeat it are responses too. Rows without an id revisit one that has an id, and are
-    responses if none has. Only digests and ids are grouped, and partly before they move.
+    responses if none has. Only digests and ids are grouped, and partly before they move. The
+    digests that come again are written first: the join with the payloads then has two tables,
+    and a payload that very many pages share is split.
     """
     keyed = pages.withColumn("__sha", F.sha1("payload"))
     first = keyed.filter(F.octet_length("payload") >= least).groupBy("__sha").agg(
-        F.min("page_id").alias("__first")
-    )
+        F.min("page_id").alias("__first"), F.count("*").alias("__n")
+    ).filter("__n > 1").drop("__n")
+    first = stored(first, "shared-payloads")
     joined = keyed.join(first, "__sha", "left")
     again = F.col("__first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("__first"))
     again = again & (F.octet_length("payload") >= least)
