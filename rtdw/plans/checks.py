@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from rtdw.plans.standin import FIRST_DOCUMENT_MS
+from rtdw.plans.standin import FIRST_DOCUMENT_MS, HAN_LETTERS
 
 SECOND = "'%Y-%m-%d %H:%M:%S'"
 HOUR_MS = 3_600_000
@@ -448,6 +448,44 @@ FROM word GROUP BY ALL""",
 SELECT keyword, count(*) AS ct
 FROM (SELECT unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+')) AS keyword FROM documents)
 GROUP BY keyword""",
+    "keyword_han_words": f"""
+WITH han AS (
+  SELECT doc_id, translate(lower(text), 'abcdefghijklmnopqrstuvwxyz', '{HAN_LETTERS}') AS spaced
+  FROM documents),
+dictionary AS (
+  SELECT word FROM (SELECT unnest(regexp_extract_all(spaced, '\\p{{Han}}+')) AS word FROM han)
+  WHERE length(word) BETWEEN 2 AND 8 GROUP BY word HAVING count(*) >= 5),
+token AS (SELECT doc_id, unnest(regexp_extract_all(replace(spaced, ' ', ''), '\\p{{Han}}+')) AS run FROM han),
+run AS (
+  SELECT row_number() OVER () AS id, run, regexp_extract_all(run, '.') AS chars
+  FROM (SELECT DISTINCT run FROM token)),
+start AS (
+  SELECT id, place, ch || {" || ".join(f"coalesce(lead(ch, {n}) OVER following, '')" for n in range(1, 8))} AS ahead
+  FROM (SELECT id, unnest(chars) AS ch, generate_subscripts(chars, 1) AS place FROM run)
+  WINDOW following AS (PARTITION BY id ORDER BY place)),
+matched AS (
+  SELECT id, place, max(k) AS k
+  FROM (SELECT id, place, k, substring(ahead, 1, k) AS word
+        FROM start, range(2, 9) AS sizes(k) WHERE k <= length(ahead))
+  JOIN dictionary USING (word) GROUP BY id, place),
+taken AS (
+  SELECT id, unnest(list_reduce(
+    list({{'next': place + k, 'place': place, 'taken': [place]}} ORDER BY place),
+    lambda a, b: CASE WHEN b.place >= a.next
+      THEN {{'next': b.next, 'place': b.place, 'taken': list_concat(a.taken, b.taken)}} ELSE a END).taken) AS place
+  FROM matched GROUP BY id),
+word AS (SELECT id, place, k FROM taken JOIN matched USING (id, place)),
+piece AS (
+  SELECT id, substring(ahead, 1, k) AS keyword FROM word JOIN start USING (id, place)
+  UNION ALL
+  SELECT id, substring(ahead, 1, 1) FROM start
+  ANTI JOIN (SELECT id, unnest(range(place, place + k)) AS place FROM word) USING (id, place)),
+found AS (
+  SELECT doc_id, keyword FROM token JOIN run USING (run) JOIN piece USING (id)
+  UNION ALL
+  SELECT doc_id, unnest(regexp_extract_all(
+    regexp_replace(replace(spaced, ' ', ''), '\\p{{Han}}+', ' ', 'g'), '[\\p{{L}}\\p{{N}}]+')) FROM han)
+SELECT doc_id, keyword, count(*) AS ct FROM found GROUP BY ALL""",
     "cdc_normalize": f"""{_with(CHANGE)}
 SELECT 'shop' AS database, tableName, before_id, before_columns, after_id, after_columns, type, seq
 FROM change""",

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rtdw.functions import codes, text, times
-from rtdw.operators import cdc, events, joins, logs, parse, routing, stats, visits, wide
+from rtdw.operators import cdc, events, joins, logs, parse, routing, segment, stats, visits, wide
 from rtdw.plans import standin
 from rtdw.plans.standin import table
 from rtdw.schemas import MONEY_SUM, ORDER_INFO, PRODUCT_STATS, struct
@@ -465,6 +465,14 @@ def keyword_lateral_sql(spark, d):
     )
 
 
+@query
+def keyword_han_words(spark, d):
+    lines = standin.han_lines(table(spark, d, "documents"))
+    dictionary = segment.counted_dictionary(lines, "spaced")
+    found = segment.dictionary_words(lines.select("doc_id", "line"), "line", dictionary)
+    return found.groupBy("doc_id", F.col("word").alias("keyword")).agg(F.count("*").alias("ct"))
+
+
 # Change records
 
 

@@ -205,6 +205,17 @@ def search_pages(documents: DataFrame, source: DataFrame) -> DataFrame:
     )
 
 
+# The characters that stand for the letters a to z in Han lines.
+HAN_LETTERS = "天地人日月山水火木金土上下左右大小多少春夏秋冬東西南"
+
+
+def han_lines(documents: DataFrame) -> DataFrame:
+    """Documents with their Latin letters as Han characters: ``spaced``, and ``line`` without blanks."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    spaced = documents.selectExpr("doc_id", f"translate(lower(text), '{letters}', '{HAN_LETTERS}') as spaced")
+    return spaced.selectExpr("*", "replace(spaced, ' ', '') as line")
+
+
 # Facts
 
 
