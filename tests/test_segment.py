@@ -65,3 +65,24 @@ def test_counted_dictionary(spark):
     df = spark.createDataFrame([("苹果 手机 A",), ("苹果,红 手机壳",), (None,)], "t string")
     assert [r[0] for r in segment.counted_dictionary(df, "t", support=2).collect()] == ["苹果"]
     assert {r[0] for r in segment.counted_dictionary(df, "t", support=1, longest=2).collect()} == {"苹果", "手机"}
+
+
+def test_small_dictionaries_cut_runs_without_a_shuffle(spark):
+    lines = [(1, "苹果手机壳 x"), (2, "壳" * 300 + "苹果手机" * 300), (3, None)]
+    dictionary = ["苹果", "手机", "苹果手机", "机壳", "a b"]
+    df = spark.createDataFrame(lines, "id long, t string")
+    words = spark.createDataFrame([(w,) for w in dictionary], "word string")
+    got = segment.dictionary_words(df, "t", words)
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+    assert Counter((r["id"], r["word"]) for r in got.collect()) == wanted(lines, dictionary)
+    assert segment.listed_words(words, limit=3) is None
+    assert found(spark, lines, dictionary, max_listed=3) == wanted(lines, dictionary)
+
+
+def test_random_runs_by_the_join(spark):
+    rng = random.Random(6)
+    run = lambda low, high: "".join(rng.choices("天地人日", k=rng.randint(low, high)))
+    dictionary = sorted({run(2, 6) for _ in range(60)})
+    lines = [(i, run(1, 60) + rng.choice(["", " x ", ","]) + run(0, 600)) for i in range(100)]
+    want = wanted(lines, dictionary)
+    assert found(spark, lines, dictionary) == want == found(spark, lines, dictionary, max_listed=1)
