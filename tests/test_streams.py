@@ -76,6 +76,27 @@ def test_bounce(spark, pages, tmp_path_factory):
     assert ids(got, F.col("value").cast("bigint")) == ids(want)
 
 
+def test_bounces_of_many_devices_share_state_keys(spark, pages, tmp_path_factory):
+    """A key of the state holds all devices of a part, also rows without a device."""
+    keys = []
+
+    def run(s, parts):
+        rows = s.selectExpr(
+            "nullif(mid, '1') as mid", "ts", "page.last_page_id is null as entry",
+            "lpad(event_id, 9, '0') as tie", "cast(event_id as string) as value")
+        out = keyed.bounces(rows, TIMEOUT, parts=parts)
+        keys.append(out._jdf.queryExecution().analyzed().toString())
+        return out
+
+    one = feed(spark, pages, tmp_path_factory, lambda s: run(s, 1))
+    many = feed(spark, pages, tmp_path_factory, lambda s: run(s, 50))
+    unnamed = pages.withColumn("common", F.expr("named_struct('mid', nullif(common.mid, '1'))"))
+    want = ids(stored_visits.bounces(unnamed, tiebreak=("event_id",), timeout=TIMEOUT))
+    value = F.col("value").cast("bigint")
+    assert ids(one, value) == want == ids(many, value) and len(want) > 20
+    assert all("part" in text for text in keys)
+
+
 def test_visitor_windows(spark, pages, tmp_path_factory):
     columns = ("stt", "vc", "ch", "ar", "is_new", "pv_ct", "sv_ct", "dur_sum", "ts")
     got = feed(spark, pages, tmp_path_factory,
