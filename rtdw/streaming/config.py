@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import pandas as pd
@@ -15,6 +16,9 @@ from rtdw.schemas import TEXT_MAP
 #: Parts that the records of one table and operation are spread over.
 PARTS = 16
 
+#: Records of a part that are held in memory; more wait in the state.
+HELD = 20_000
+
 
 class Routing(StatefulProcessor):
     """Keeps the newest config row of a table and operation, and the records before the first.
@@ -37,28 +41,42 @@ class Routing(StatefulProcessor):
         )
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True)
-        known = self.config.get() if self.config.exists() else None
-        changes = batch[batch["is_config"]].sort_values("seq", kind="stable").tail(1)
-        records = batch.loc[~batch["is_config"], list(self.RECORD)]
-        if len(changes):
-            new = changes.iloc[0]
-            if known is None or int(new["seq"]) >= known[0]:
-                known = (int(new["seq"]), *(new[c] for c in self.CONFIG))
-                self.config.update(known)
-        if known is None:
+        known, held, size = self.config.get() if self.config.exists() else None, [], 0
+        for batch in rows:
+            changes = batch[batch["is_config"]].sort_values("seq", kind="stable").tail(1)
+            if len(changes):
+                new = changes.iloc[0]
+                if known is None or int(new["seq"]) >= known[0]:
+                    known = (int(new["seq"]), *(new[c] for c in self.CONFIG))
+                    self.config.update(known)
+            records = batch.loc[~batch["is_config"], list(self.RECORD)]
             if len(records):
-                self.waiting.appendList(
-                    list(records.astype(object).where(records.notna(), None).itertuples(index=False, name=None))
-                )
+                held.append(records)
+                size += len(records)
+            if size >= HELD:  # the newest config may still come
+                self._wait(held)
+                held, size = [], 0
+        if known is None:
+            self._wait(held)
             return
+        early = self._early() if self.waiting.exists() else iter(())
+        for records in itertools.chain(early, held):
+            if known[1] in (FACT_SINK, DIM_SINK):
+                own = {"tableName": key[0], "type": key[1], **dict(zip(self.CONFIG, known[1:], strict=True))}
+                yield records.assign(**own)[list(self.OUT)]
         if self.waiting.exists():
-            early = pd.DataFrame(list(self.waiting.get()), columns=list(self.RECORD))
-            records = pd.concat([early, records], ignore_index=True)
             self.waiting.clear()
-        if len(records) and known[1] in (FACT_SINK, DIM_SINK):
-            own = {"tableName": key[0], "type": key[1], **dict(zip(self.CONFIG, known[1:], strict=True))}
-            yield records.assign(**own)[list(self.OUT)]
+
+    def _wait(self, held: list[pd.DataFrame]) -> None:
+        for records in held:
+            rows = records.astype(object).where(records.notna(), None)
+            self.waiting.appendList(list(rows.itertuples(index=False, name=None)))
+
+    def _early(self) -> Iterator[pd.DataFrame]:
+        """The waiting records, some thousands at a time."""
+        waiting = self.waiting.get()
+        while some := list(itertools.islice(waiting, HELD)):
+            yield pd.DataFrame(some, columns=list(self.RECORD))
 
     def close(self) -> None:
         pass

@@ -4,6 +4,7 @@ import contextlib
 import io
 from datetime import date
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from rtdw.operators import routing
@@ -79,6 +80,58 @@ def test_records_before_their_config(spark, tmp_path):
     assert sorted(columns) == sorted(got[3][0].asDict())
 
 
+class State:
+    """A value and a list of the state, in memory; keeps how many rows each call handed over."""
+
+    def __init__(self):
+        self.value, self.rows, self.sizes = None, [], []
+
+    def getValueState(self, name, schema):
+        return State()
+
+    def getListState(self, name, schema, ttlDurationMs=None):
+        return State()
+
+    def exists(self):
+        return self.value is not None or bool(self.rows)
+
+    def get(self):
+        return self.value if self.value is not None else iter(self.rows)
+
+    def update(self, value):
+        self.value = value
+
+    def appendList(self, rows):
+        self.sizes.append(len(rows))
+        self.rows += rows
+
+    def clear(self):
+        self.rows = []
+
+
+def test_early_records_are_not_held_in_memory():
+    """Neither on arrival nor when the config is there; a config in the last batch counts for all."""
+    rule, names = config.Routing(None), ("sink_type", "sink_table", "sink_columns", "sink_pk")
+    rule.init(State())
+    empty = dict.fromkeys(names)
+    number = 50
+
+    def batches(settings):
+        for n in range(number):
+            yield pd.DataFrame({"is_config": False, "seq": range(n * 1000, n * 1000 + 1000), "database": "d",
+                                "after": "{}", **empty})
+        for seq in settings:
+            yield pd.DataFrame([{"is_config": True, "seq": seq, "database": None, "after": None,
+                                 **dict.fromkeys(names, f"c{seq}"), "sink_type": "kafka"}])
+
+    assert not list(rule.handleInputRows(("t", "insert"), batches([]), None))
+    assert len(rule.waiting.rows) == number * 1000 and max(rule.waiting.sizes) <= 1000
+    out = list(rule.handleInputRows(("t", "insert"), batches([2, 1]), None))
+    assert max(len(x) for x in out) <= config.HELD and not rule.waiting.rows
+    rows = pd.concat(out)
+    assert sorted(rows["seq"]) == sorted([*range(number * 1000)] * 2) and set(rows["sink_table"]) == {"c2"}
+
+
 def test_gmv_reads_one_day(spark, tmp_path):
     w = jobs.Warehouse(spark, str(tmp_path))
     path = w.path(jobs.GMV_BY_DAY)
