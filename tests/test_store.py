@@ -8,7 +8,7 @@ from rtdw.operators import visits as stored_visits
 from rtdw.session import fresh_dir, session_settings
 from rtdw.sinks.dims import DimensionStore, create_tables
 from rtdw.sources.changes import stream_snapshot_then_changes
-from rtdw.streaming import jobs, visits
+from rtdw.streaming import jobs, run, visits
 from rtdw.streaming.keyed import EntryTimeout
 from rtdw.streaming.run import run_to_table, start_table
 
@@ -155,3 +155,17 @@ def test_late_orders_are_counted(spark):
         start_table(stats.product_measures(stream, lateness=lateness), out, checkpoint, every=None).awaitTermination()
     got = {r["stt"]: r["order_ct"] for r in spark.read.parquet(out).collect()}
     assert sum(got.values()) == 1
+
+
+def test_partitions_of_the_state_grow_with_the_input(spark, tmp_path):
+    small, large = tmp_path / "small.parquet", tmp_path / "large"
+    small.write_bytes(b"x")
+    large.mkdir()
+    (large / "part").write_bytes(bytes(10 * run.PARTITION_BYTES + 1))
+    assert run.state_partitions(spark, str(small)) == 4
+    assert run.state_partitions(spark, str(small), str(large)) == 11
+    source = fresh_dir(spark, "source")
+    spark.range(50).write.parquet(source)
+    stream = spark.readStream.schema("id long").parquet(source).dropDuplicates()
+    assert run_to_table(spark, stream, "parts", partitions=7).count() == 50
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
