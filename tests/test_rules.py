@@ -473,3 +473,33 @@ def test_names_and_codes(spark):
     assert values(codes.with_label(df, "order_status", "order_status", "label"), "*")[0] == ("1002", "paid")
     assert names.camel_columns(df.withColumn("sku_id_x", F.lit(1))).columns == ["orderStatus", "skuIdX"]
     assert codes.code_table(spark).count() == sum(len(c) for c in codes.CODES.values())
+
+
+def test_split_lines_are_parsed_once_for_all_their_fields(spark):
+    from rtdw.plans.queries import line_fields, topic_counts
+
+    lines = [
+        '{"common":{"mid":"m","is_new":"1","vc":null,"x":"\\"q\\""},"page":{"page_id":"p","item":7,"during_time":1.50},'
+        '"displays":[{"item":"1"},{"item":2},{}],"ts":5}',
+        '{"common":{"mid":7,"is_new":1},"page":null,"displays":[],"ts":"5"}',
+        '{"item":"3","item_type":"sku_id","page_id":"home"}', '{"entry":"icon"}', '{"displays":[{"item":"1"}]}',
+        '{"page":{"item":{"a":[1, 2]}},"item":"x","common":[1]}', "[1]", "{}", "no record", "", None,
+    ]
+    rows = spark.createDataFrame([("dwd_page_log", x) for x in lines] + [("dirty_log", x) for x in lines], "topic string, value string")
+    paths = {
+        "mid": "$.common.mid", "is_new": "$.common.is_new", "vc": "$.common.vc", "ch": "$.common.ch", "ar": "$.common.ar",
+        "last_page_id": "$.page.last_page_id", "during_time": "$.page.during_time", "ts": "$.ts", "entry": "$.entry",
+        "displays": "$.displays[*].item",
+    }
+    value = F.when(F.col("topic") == "dwd_page_log", F.col("value"))
+    field = lambda *path: F.coalesce(*(F.get_json_object(value, p) for p in path))
+    both = [field(f"$.page.{c}", f"$.{c}").alias(c) for c in ("page_id", "item", "item_type")]
+    md5 = F.when(F.col("topic") == "dirty_log", F.md5("value")).alias("line_md5")
+    want = rows.select("topic", *(field(p).alias(c) for c, p in paths.items()), *both, md5)
+    got = line_fields(rows)
+    as_set = lambda df: sorted(map(repr, df.collect()))
+    assert got.columns == want.columns and as_set(got) == as_set(want)
+    counted = rows.select("topic", field("$.page.page_id", "$.page_id").alias("page_id"), field("$.common.is_new").alias("is_new"))
+    counted = counted.groupBy("topic", "page_id", "is_new").agg(F.count("*").alias("n"))
+    assert as_set(topic_counts(rows)) == as_set(counted)
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("get_json_object(") == 1

@@ -61,6 +61,24 @@ def test_new_visitor(spark, pages, tmp_path_factory):
     assert ids(got.where("event_id >= 0"), *rows) == ids(want, *rows)
 
 
+def test_new_visitors_of_many_devices_share_state_keys(spark, pages, tmp_path_factory):
+    """A key of the state holds all devices of a part, also rows without a device."""
+    rows = ("event_id", "mid", "ts", "is_new")
+    some = pages.withColumn("mid", F.expr("nullif(mid, '1')"))
+    keys = []
+
+    def run(s, parts):
+        out = keyed.first_flags(s.select(*rows).where("is_new = '1'"), order=("ts", "event_id"), parts=parts)
+        keys.append(out._jdf.queryExecution().analyzed().toString())
+        return out
+
+    one, many = (feed(spark, some, tmp_path_factory, lambda s, n=n: run(s, n)) for n in (1, 64))
+    want = ids(logs.fix_new_visitor(some.where("is_new = '1'").select(*rows)), *rows[::2], "is_new")
+    assert ids(one, *rows[::2], "is_new") == ids(many, *rows[::2], "is_new") == want
+    assert all("__part" in plan for plan in keys)
+    assert one.where("mid is null").count() > 1
+
+
 def test_unique_visit(spark, pages, tmp_path_factory):
     got = feed(spark, pages, tmp_path_factory, lambda s: visits.unique_visits(s).select("mid", "ts"))
     day = F.to_date(millis_to_ts("ts")).cast("string")
