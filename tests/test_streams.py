@@ -115,6 +115,28 @@ def test_bounces_of_many_devices_share_state_keys(spark, pages, tmp_path_factory
     assert all("part" in text for text in keys)
 
 
+def test_expiring_visits_of_many_devices_share_state_keys(spark, pages, tmp_path_factory):
+    """One entry per device in few keys of the state; each counts once a day over several micro-batches."""
+    named = pages.select("event_id", "common", "page", "ts", "mid", "is_new")
+    # In processing time a run without new input would never be the last.
+    with session_settings(spark, {"spark.sql.streaming.noDataMicroBatches.enabled": "false"}):
+        out = feed(spark, named, tmp_path_factory, lambda s: visits.unique_visits_with_expiry(
+            s.selectExpr("*", "cast(event_id as string) as value"), ttl="1 day", parts=3))
+    want = stored_visits.unique_visits(pages, tiebreak=("event_id",))
+    day = F.to_date(millis_to_ts("ts")).cast("string")
+    assert ids(out.where("mid <> 'far'"), "mid", "day") == ids(want, "mid", day)
+    checkpoint, stored = fresh_dir(spark, "checkpoint"), fresh_dir(spark, "in")
+    named.selectExpr("*", "cast(event_id as string) as value").write.parquet(stored)
+    stream = spark.readStream.schema(spark.read.parquet(stored).schema).parquet(stored)
+    with session_settings(spark, {"spark.sql.streaming.noDataMicroBatches.enabled": "false"}):
+        kept = visits.unique_visits_with_expiry(stream, parts=3)
+        start_table(kept, fresh_dir(spark, "out"), checkpoint, every=None).awaitTermination()
+    state = visits.stored_state(spark, checkpoint, "last")
+    newest = want.groupBy("mid").agg(F.max(day).alias("day"))
+    assert ids(state, "user_map_key.mid", "user_map_value.value.day") == ids(newest, "mid", "day")
+    assert state.select("key").distinct().count() <= 3 < newest.count()
+
+
 def test_visitor_windows(spark, pages, tmp_path_factory):
     columns = ("stt", "vc", "ch", "ar", "is_new", "pv_ct", "sv_ct", "dur_sum", "ts")
     got = feed(spark, pages, tmp_path_factory,
