@@ -145,6 +145,24 @@ def test_visitor_windows(spark, pages, tmp_path_factory):
     assert ids(got, *columns) == ids(want, *columns)
 
 
+def test_order_sketches_take_state_partitions_by_the_size_of_their_input(spark, sf_dir, monkeypatch):
+    from rtdw.plans import stream_queries
+    from rtdw.streaming import run
+
+    dealt = []
+
+    def spy(spark, stream, purpose, partitions=None):
+        bounded = spark.conf.get("spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage")
+        dealt.append((purpose, partitions, bounded))
+        return run.run_to_table(spark, stream, purpose, partitions)
+
+    monkeypatch.setattr(run, "PARTITION_BYTES", 1 << 14)
+    monkeypatch.setattr(stream_queries, "run_to_table", spy)
+    rows = stream_queries.stream_order_sketches(spark, sf_dir).collect()
+    assert dealt == [("order-sketches", 8, "true")]
+    assert rows and all(r["near"] and r["bounded"] for r in rows)
+
+
 def test_scratch_folder_comes_from_the_session(spark):
     assert shared_dir(spark) == spark.sparkContext.getConf().get("spark.checkpoint.dir")
     assert fresh_dir(spark, "x").startswith(shared_dir(spark))
