@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rtdw.llm.tables import stored, table, text_key
-from rtdw.llm.words import pieces, split_words, texts_of, union_of_runs
+from rtdw.llm.words import lean, pieces, split_words, texts_of, union_of_runs
 
 WINDOW = 10
 BLOCK_BYTES = 8 << 20
@@ -108,7 +108,7 @@ def build_index(docs: DataFrame, key: str = "key", text: str = "text") -> DataFr
                 yield pa.RecordBatch.from_arrays(values, schema.names)
                 number += 1
 
-    return docs.select(key, F.col(text).cast("string").alias(text)).mapInArrow(build, schema)
+    return docs.select(key, F.col(text).cast("string").alias(text)).mapInArrow(lean(build), schema)
 
 
 def term_counts(index: DataFrame, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -124,7 +124,7 @@ def term_counts(index: DataFrame, asked: np.ndarray) -> tuple[np.ndarray, np.nda
                     [pa.array(found[mine].view(np.int64)), pa.array(counts[mine])], ["term", "n"]
                 )
 
-    counted = index.select("terms", "ends").mapInArrow(count, "term long, n long")
+    counted = index.select("terms", "ends").mapInArrow(lean(count), "term long, n long")
     got = counted.groupBy("term").agg(F.sum("n").alias("n")).toArrow()
     terms = got["term"].to_numpy().view(np.uint64)
     order = np.argsort(terms)
@@ -203,7 +203,7 @@ def search(index: DataFrame, phrases: Phrases, slop: int = 0) -> DataFrame:
                         values, ["segment", "doc", "item_id", "start", "end"]
                     )
 
-    return index.select("segment", "starts", "terms", "ends", "deltas").mapInArrow(find, schema)
+    return index.select("segment", "starts", "terms", "ends", "deltas").mapInArrow(lean(find), schema)
 
 
 def item_blocks(items: DataFrame) -> Iterator[tuple[list, list]]:

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from rtdw.llm.components import components
 from rtdw.llm.tables import extended, stored, table
-from rtdw.llm.words import mixed, pieces, shingles, split_words
+from rtdw.llm.words import lean, mixed, pieces, shingles, split_words
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -93,7 +93,7 @@ def sketches(docs: DataFrame, keep: list[str], text: str = "text", size: int = S
                 ]
                 yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in keep), *values], schema.names)
 
-    return docs.select(*keep, F.col(text).cast("string").alias("__text")).mapInArrow(sketch, schema)
+    return docs.select(*keep, F.col(text).cast("string").alias("__text")).mapInArrow(lean(sketch), schema)
 
 
 def gram_sets(docs: DataFrame, keep: list[str], text: str = "text", size: int = SHINGLE) -> DataFrame:
@@ -106,7 +106,7 @@ def gram_sets(docs: DataFrame, keep: list[str], text: str = "text", size: int =
                 out = pa.array([x.tobytes() for x in _gram_sets(rows, texts, size)], pa.binary())
                 yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in keep), out], schema.names)
 
-    return docs.select(*keep, F.col(text).cast("string").alias("__text")).mapInArrow(sets, schema)
+    return docs.select(*keep, F.col(text).cast("string").alias("__text")).mapInArrow(lean(sets), schema)
 
 
 def _common(sets: list[np.ndarray]) -> np.ndarray:
@@ -194,7 +194,7 @@ def links(members: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
     dealt = members.repartition(*keys).sortWithinPartitions(*keys)
     return dealt.select(*keys, "side", "set", "copies", "hashes", "buckets").mapInArrow(
-        compare, "a binary, b binary, links long"
+        lean(compare), "a binary, b binary, links long"
     )
 
 

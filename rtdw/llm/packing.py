@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rtdw.llm.tables import extended, stored, table
-from rtdw.llm.words import LOWER, Texts, kept, mixed, pieces, prefix_sums, ranges
+from rtdw.llm.words import LOWER, Texts, kept, lean, mixed, pieces, prefix_sums, ranges, release, texts_of
 
 CAPACITY = 2048
 END = 0
@@ -84,11 +84,10 @@ class Encoder:
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.plain = Tokenizer.from_file(path)
-        self.plain.normalizer = normalizers.Sequence([])
+        self.plain = Tokenizer(self.tokenizer.model)  # one vocabulary for both
         self.plain.pre_tokenizer = pre_tokenizers.Sequence(
             [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
         )
@@ -98,6 +97,7 @@ class Encoder:
         self.hashes, self.first = np.empty(0, np.uint64), np.empty(0, np.int64)
         self.count, self.met = np.empty(0, np.int32), np.empty(0, np.int32)
         self.ids, self.turn = np.empty(0, np.uint32), 0
+        release()  # what the vocabulary's text took
 
     def plain_ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of plain words and how many each has: a word ends where a token ends one."""
@@ -148,8 +148,10 @@ class Encoder:
         self.hashes, self.count, self.met = self.hashes[kept_], self.count[kept_], self.met[kept_]
         self.first = np.cumsum(self.count, dtype=np.int64) - self.count
 
-    def encode(self, texts: Texts) -> list[np.ndarray]:
+    def encode(self, texts: Texts | list[str]) -> list[np.ndarray]:
         """The ids of each text, ended by ``END``."""
+        if not isinstance(texts, Texts):
+            texts = texts_of(pa.array(texts, pa.string()))
         self.turn += 1
         data, offsets = LOWER[texts.data], texts.offsets
         begins, ends, text = chunks_of(data, offsets)
@@ -194,8 +196,9 @@ def token_pieces(docs: DataFrame, keep: list[str], vocabulary: str, text: str =
     more = "piece int, start long, length long, ids_crc32 long"
     schema = extended(docs.select(*keep).schema, more + ", ids array<int>" * ids)
 
+    owner = f"encoder {vocabulary}"
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        owner = f"encoder {vocabulary}"
         own = kept(owner, lambda: Encoder(vocabulary))
         for batch in batches:
             for rows, texts in pieces(batch, "__text", owner=owner):
@@ -214,7 +217,7 @@ def token_pieces(docs: DataFrame, keep: list[str], vocabulary: str, text: str =
                 own_rows = rows.select(keep).take(pa.array(at))
                 yield pa.RecordBatch.from_arrays([*own_rows.columns, *values], schema.names)
 
-    return docs.select(*keep, F.col(text).cast("string").alias("__text")).mapInArrow(cut, schema)
+    return docs.select(*keep, F.col(text).cast("string").alias("__text")).mapInArrow(lean(cut, owner), schema)
 
 
 def best_fit(space: int, lengths: list[int], counts: dict[int, int]) -> list[int]:
