@@ -3,7 +3,7 @@
 Han text has no blanks. From left to right the longest word of two to ``longest`` characters
 that begins where the last one ended is taken; a character without a word stands alone.
 
-A dictionary of up to ``MAX_LISTED`` words goes along with the expression that cuts a run, so
+A dictionary of up to ``MAX_LISTED`` words goes along as one pattern that cuts the texts, so
 nothing is shuffled or stored. A larger one is joined with the pieces of each different run.
 Words only compete where they overlap, so there the matches of a run are parted where none of
 them crosses, and the choice is a fold over each such group, not over the run.
@@ -11,8 +11,6 @@ them crosses, and the choice is a fold over each such group, not over the run.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,11 +20,11 @@ from rtdw.session import fresh_dir
 #: Characters of the longest word looked for.
 LONGEST = 8
 
-#: Words of a dictionary that may go along with an expression; some 25 bytes each.
-MAX_LISTED = 200_000
+#: Words of a dictionary that may go along as a pattern.
+MAX_LISTED = 1_000_000
 
-# Places folded at a time: the words of a block are copied with each further one.
-_BLOCK = 256
+# Characters that are tried one after another in a pattern; more are halved first.
+_TRIED = 6
 
 
 def _all(text: Column | str, pattern: str) -> Column:
@@ -110,8 +108,7 @@ def cut_runs(runs: DataFrame, dictionary: DataFrame, longest: int = LONGEST) ->
 
 
 def listed_words(dictionary: DataFrame, longest: int = LONGEST, limit: int = MAX_LISTED) -> list[str] | None:
-    """The words that can occur in a run, dealt by hash to as many lines as there are words, each
-    word between blanks; None if they are more than ``limit``."""
+    """The words that can occur in a run, in order; None if they are more than ``limit``."""
     size = F.length("word")
     usable = dictionary.select("word").where(
         (size >= 2) & (size <= longest) & F.col("word").rlike(f"^{HAN}+$")
@@ -119,64 +116,38 @@ def listed_words(dictionary: DataFrame, longest: int = LONGEST, limit: int = MAX
     path = fresh_dir(dictionary.sparkSession, "dictionary")
     usable.write.parquet(path)
     words = dictionary.sparkSession.read.schema("word string").parquet(path)
-    number = words.count()
-    if number > limit:
+    if words.count() > limit:
         return None
-    lines = [""] * max(number, 1)
-    line = F.pmod(F.xxhash64("word"), F.lit(len(lines))).alias("line")
-    for row in words.select("word", line).toLocalIterator():
-        lines[row["line"]] += f" {row['word']} "
-    return lines
+    return sorted(row["word"] for row in words.toLocalIterator())
 
 
-def cut_listed(chars: Column, lines: list[str], longest: int = LONGEST) -> Column:
-    """The words of a run (array of its characters) in order, by ``listed_words``.
+def listed_pattern(words: list[str]) -> str:
+    """A pattern that matches the longest of the words, which are in order and different.
 
-    A fold over the places of the run, in blocks, which looks words up only where one begins.
+    Words that begin alike share that part of the pattern, so each character of a text is
+    compared with those that may follow, not with the words.
     """
-    table = F.split(F.lit("\n".join(lines)), "\n")
-    sizes = F.array(*[F.lit(n) for n in range(longest, 1, -1)])
-    none = F.array().cast("array<string>")
-
-    def is_listed(word: Column) -> Column:
-        line = F.get(table, F.pmod(F.xxhash64(word), F.lit(len(lines))).cast("int"))
-        return line.contains(F.concat(F.lit(" "), word, F.lit(" ")))
-
-    def word_at(at: Column) -> Column:
-        def longest_word(ahead: Column) -> Column:
-            fits = F.filter(sizes, lambda n: (n <= F.length(ahead)) & is_listed(F.substring(ahead, 1, n)))
-            return F.substring(ahead, F.lit(1), F.coalesce(F.get(fits, F.lit(0)), F.lit(1)))
-
-        return _once(F.array_join(F.slice(chars, at + 1, F.lit(longest)), ""), longest_word)
-
-    def block(first: Column, begin: Column) -> Column:
-        return F.aggregate(
-            F.sequence(begin, F.least(begin + _BLOCK, F.size(chars)) - 1),
-            F.struct(first.alias("next"), none.alias("words")),
-            lambda done, at: F.when(at < done["next"], done).otherwise(_once(
-                word_at(at),
-                lambda word: F.struct(
-                    (at + F.length(word)).alias("next"), F.concat(done["words"], F.array(word)).alias("words")
-                ),
-            )),
-        )
-
-    return F.aggregate(
-        F.sequence(F.lit(0), F.size(chars) - 1, F.lit(_BLOCK)),
-        F.struct(F.lit(0).alias("next"), F.array().cast("array<array<string>>").alias("words")),
-        lambda done, begin: _once(
-            block(done["next"], begin),
-            lambda part: F.struct(
-                part["next"].alias("next"), F.concat(done["words"], F.array(part["words"])).alias("words")
-            ),
-        ),
-        lambda done: F.flatten(done["words"]),
-    )
 
+    def choice(branches: list[tuple[str, str]]) -> str:
+        if len(branches) <= _TRIED:
+            return "|".join(branch for _, branch in branches)
+        half = len(branches) // 2
+        span = f"[{branches[0][0]}-{branches[half - 1][0]}]"
+        return f"(?={span})(?:{choice(branches[:half])})|{choice(branches[half:])}"
 
-def _once(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with the value worked out once."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
+    def endings(begin: int, end: int, depth: int) -> str:
+        branches = []
+        while begin < end:
+            first, stop = words[begin][depth], begin
+            while stop < end and words[stop][depth] == first:
+                stop += 1
+            is_word = len(words[begin]) == depth + 1
+            rest = endings(begin + is_word, stop, depth + 1)
+            branches.append((first, f"{first}(?:{rest})?" if is_word and rest else f"{first}(?:{rest})" if rest else first))
+            begin = stop
+        return choice(branches)
+
+    return endings(0, len(words), 0)
 
 
 def dictionary_words(
@@ -187,19 +158,14 @@ def dictionary_words(
     Letters and digits of other scripts form words as in ``functions.text.words``. A text
     without words, or a null one, gives no row. ``dictionary``: word; words of one character
     or more than ``longest`` play no part. It is written to a table and counted: up to
-    ``max_listed`` words cut the runs where they are, more are joined.
+    ``max_listed`` words cut the texts where they are, more are joined.
     """
     listed = listed_words(dictionary, longest, max_listed)
+    if listed is not None:
+        token = "|".join(filter(None, [listed_pattern(listed), HAN, HAN_RUN_OR_WORD]))
+        return lines.select("*", F.explode(_all(F.lower(text), token)).alias("word"))
     tokens = lines.select("*", F.explode(_all(F.lower(text), HAN_RUN_OR_WORD)).alias("__token"))
     is_run = F.col("__token").rlike(HAN)
-    if listed is not None:
-        # From a generator, else the characters would be cut anew for each use.
-        chars = F.when(is_run, _all("__token", "(?s)."))
-        cut = tokens.select("*", F.explode(F.array(chars)).alias("__chars"))
-        words = F.when(F.col("__chars").isNotNull(), cut_listed(F.col("__chars"), listed, longest))
-        return cut.select(
-            *(cut[c] for c in lines.columns), F.explode(F.coalesce(words, F.array("__token"))).alias("word")
-        )
     runs = tokens.where(is_run).select(F.col("__token").alias("run"))
     pieces = cut_runs(runs, dictionary, longest).select(
         F.col("run").alias("__token"), F.col("pieces").alias("__pieces")

@@ -9,6 +9,7 @@ import __spark_entry__ as entry
 from rtdw.operators import stats
 from rtdw.plans.queries import QUERIES
 from rtdw.session import session_settings
+from rtdw.sources import tables
 
 BATCH = sorted(n for n in QUERIES if not n.startswith("stream_"))
 # As if every table were large: nothing is small enough to broadcast.
@@ -57,6 +58,13 @@ def test_filters_reach_the_scan(spark, sf_dir, tmp_path):
     assert "GreaterThanOrEqual(stt," in text and "LessThanOrEqual(stt," in text
 
 
+def test_texts_are_shuffled_and_not_their_words(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(tables, "DEALT_BYTES", 1 << 15)
+    text = plan(entry.queries()["keyword_han_words"](spark, sf_dir))
+    shuffles = [x for x in text.split("\n") if "hashpartitioning" in x]
+    assert len(shuffles) == 1 and "hashpartitioning(doc_id" in shuffles[0] and ", 9), REPARTITION_BY_NUM" in shuffles[0]
+
+
 def test_facts_are_read_and_shuffled_once(spark, sf_dir):
     with session_settings(spark, LARGE):
         text = plan(QUERIES["product_stats"](spark, sf_dir))

@@ -86,3 +86,20 @@ def test_random_runs_by_the_join(spark):
     lines = [(i, run(1, 60) + rng.choice(["", " x ", ","]) + run(0, 600)) for i in range(100)]
     want = wanted(lines, dictionary)
     assert found(spark, lines, dictionary) == want == found(spark, lines, dictionary, max_listed=1)
+
+
+def test_large_dictionaries_go_along_too(spark):
+    """Above 200,000 words the pieces of all places were joined, with hundreds of times the text on disk."""
+    rng = random.Random(7)
+    letters = [chr(0x4E00 + 37 * i) for i in range(90)] + ["𠀀", "𪛖"]
+    dictionary = set()
+    while len(dictionary) < 200_001:
+        dictionary.add("".join(rng.choices(letters, k=rng.choice((2, 3, 3, 4, 8)))))
+    dictionary = sorted(dictionary)
+    lines = [(i, "".join(rng.choices(dictionary, k=9)) + rng.choice(letters) + " a1 ") for i in range(300)]
+    df = spark.createDataFrame(lines, "id long, t string")
+    got = segment.dictionary_words(df, "t", spark.createDataFrame([(w,) for w in dictionary], "word string"))
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+    known = set(dictionary)
+    assert Counter((r["id"], r["word"]) for r in got.collect()) == wanted(lines, known)
+    assert segment.listed_pattern(["天", "天地", "天地人", "日月山", "日月水"]) == "天(?:地(?:人)?)?|日(?:月(?:山|水))"
