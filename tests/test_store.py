@@ -1,5 +1,9 @@
 """The dimension store, snapshots as streams, days of a zone, and bounded bounce state."""
 
+import glob
+import os
+import tempfile
+
 import pandas as pd
 from pyspark.sql import functions as F
 
@@ -169,3 +173,23 @@ def test_partitions_of_the_state_grow_with_the_input(spark, tmp_path):
     stream = spark.readStream.schema("id long").parquet(source).dropDuplicates()
     assert run_to_table(spark, stream, "parts", partitions=7).count() == 50
     assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
+
+
+def test_shares_of_the_keys_hold_each_row_once(spark, tmp_path):
+    rows = spark.sql("SELECT if(id % 5 = 0, null, id) AS key, id FROM range(500)")
+    shares = [{r["id"] for r in run.in_share(rows, "key", n, 3).collect()} for n in range(3)]
+    assert sorted(x for share in shares for x in share) == list(range(500)) and all(len(x) > 80 for x in shares)
+    assert run.in_share(rows, "key", 0, 1).count() == 500
+    (tmp_path / "part").write_bytes(b"x" * 10)
+    assert run.run_shares(spark, str(tmp_path)) == 1 == run.run_shares(spark, str(tmp_path / "none"))
+
+
+def test_runs_reserve_no_disk_for_their_state(spark):
+    """Each store took 4 MB, however little it held."""
+    base = os.environ.get("SPARK_LOCAL_DIRS") or tempfile.gettempdir()
+    stores = lambda: set(glob.glob(f"{base}/spark-*/StateStoreId*"))
+    source, before = fresh_dir(spark, "source"), stores()
+    spark.range(50).write.parquet(source)
+    run_to_table(spark, spark.readStream.schema("id long").parquet(source).dropDuplicates(), "few", partitions=8)
+    files = [f"{d}/{x}" for top in stores() - before for d, _, names in os.walk(top) for x in names]
+    assert sum(os.lstat(f).st_blocks * 512 for f in files) < 8 << 20

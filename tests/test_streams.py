@@ -1,5 +1,8 @@
 """Streaming forms over several micro-batches and restarts give what stored tables give."""
 
+import os
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -163,6 +166,33 @@ def test_order_sketches_take_state_partitions_by_the_size_of_their_input(spark,
     assert rows and all(r["near"] and r["bounded"] for r in rows)
 
 
+@pytest.mark.parametrize("name", ["stream_payment_wide"])
+def test_runs_by_shares_take_disk_for_one_share_and_return_the_same(spark, sf_dir, monkeypatch, name):
+    from rtdw.plans import stream_queries
+    from rtdw.streaming import run
+
+    runs = []
+
+    def spy(spark, stream, purpose, partitions=None):
+        open_runs = [x for x in os.listdir(f"{shared_dir(spark)}/rtdw") if "-checkpoint-" in x and x not in before]
+        folder = run.run_to_folder(spark, stream, purpose, partitions)
+        runs.append((purpose, len(open_runs), folder))
+        return folder
+
+    query = getattr(stream_queries, name)
+    want = Counter(tuple(r) for r in query(spark, sf_dir).collect())
+    before = set(os.listdir(f"{shared_dir(spark)}/rtdw"))
+    monkeypatch.setattr(stream_queries, "run_to_folder", spy)
+    monkeypatch.setattr(run, "RUN_BYTES", 1 << 16)
+    got = query(spark, sf_dir)
+    purposes = Counter(purpose for purpose, _, _ in runs)
+    assert purposes["order-wide"] == purposes["payment"] == 3 and len(runs) == (6 if name == "stream_payment_wide" else 9)
+    assert not any(kept for _, kept, _ in runs)
+    gone = {purpose for purpose, _, folder in runs if not os.path.exists(folder)}
+    assert gone == ({"order-wide"} if name == "stream_payment_wide" else {"order-wide", "payment"})
+    assert Counter(tuple(r) for r in got.collect()) == want and want
+
+
 def test_scratch_folder_comes_from_the_session(spark):
     assert shared_dir(spark) == spark.sparkContext.getConf().get("spark.checkpoint.dir")
     assert fresh_dir(spark, "x").startswith(shared_dir(spark))
