@@ -166,7 +166,7 @@ def test_order_sketches_take_state_partitions_by_the_size_of_their_input(spark,
     assert rows and all(r["near"] and r["bounded"] for r in rows)
 
 
-@pytest.mark.parametrize("name", ["stream_payment_wide"])
+@pytest.mark.parametrize("name", ["stream_payment_wide", "stream_product_stats"])
 def test_runs_by_shares_take_disk_for_one_share_and_return_the_same(spark, sf_dir, monkeypatch, name):
     from rtdw.plans import stream_queries
     from rtdw.streaming import run
